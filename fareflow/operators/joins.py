@@ -7,16 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from fareflow.operators.ordering import null_safe
+from fareflow.sources.tables import plan_bytes
 
 BROADCAST_BYTES = 64 * 1024 * 1024
 HOT_ROWS = 2_000_000
 
 
-def plan_bytes(df: DataFrame) -> int:
-    """Catalyst's size of a relation; for a written table, the size of its files."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
 def lookup(
     facts: DataFrame,
     table: DataFrame,

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from fareflow.sources.tables import spread_small
+
 RAW_FARE_SCHEMA = """
     legid string, searchdate string, flightdate string,
     totalfare double, basefare double, seatsremaining double,
@@ -116,4 +118,4 @@ def fares_from_folder(spark: SparkSession, folder: str) -> DataFrame:
         return spark.read.parquet(f"{folder}/{name}.parquet")
 
     return fares_from_orders(
-        table("lineitem"), table("orders"), table("customer"), table("supplier"))
+        spread_small(table("lineitem"), "l_orderkey", "l_partkey"), table("orders"), table("customer"), table("supplier"))

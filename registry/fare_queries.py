@@ -8,7 +8,8 @@ from functools import lru_cache
 from pyspark.sql import DataFrame, SparkSession
 
 from fareflow import FareTables
-from fareflow.sources.fares import fares_from_folder
+from fareflow.sources.fares import fares_from_folder, read_fares
+from fareflow.sources.tables import RunFolder
 from registry.compare import comparable
 
 NAMES = (
@@ -23,8 +24,12 @@ NAMES = (
 
 @lru_cache(maxsize=8)
 def _tables(application: str, folder: str) -> FareTables:
+    # The fares are stored first, as a source table would be: staging then reads columns from
+    # files, and its generated code is not fused with that of the joins that make the fares.
     spark = SparkSession.getActiveSession()
-    return FareTables(fares_from_folder(spark, folder))
+    run = RunFolder(spark)
+    run.write("raw_fares", fares_from_folder(spark, folder))
+    return FareTables(read_fares(spark, run.path("raw_fares")), folder=run)
 
 
 def fare_tables(spark: SparkSession, folder: str) -> FareTables:
