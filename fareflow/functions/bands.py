@@ -37,29 +37,26 @@ CARRIER_SIZES = ((15, "Major Carrier"), (5, "Mid-tier Carrier"))
 VIOLATION_LEVELS = ((25, "High Violation"), (15, "Medium Violation"))
 
 
+def _cases(arms: Sequence[tuple[Column, object]], otherwise: object = None) -> Column:
+    label = F.when(*arms[0])
+    for condition, name in arms[1:]:
+        label = label.when(condition, name)
+    return label if otherwise is None else label.otherwise(otherwise)
+
+
 def at_least(value: Column, levels: Sequence[tuple[float, str]], otherwise: str) -> Column:
     """The first label whose limit ``value`` reaches; NULL falls to ``otherwise``."""
-    label = None
-    for limit, name in levels:
-        hit = value >= F.lit(limit)
-        label = F.when(hit, name) if label is None else label.when(hit, name)
-    return label.otherwise(otherwise)
+    return _cases([(value >= limit, name) for limit, name in levels], otherwise)
 
 
 def named(value: Column, names: dict[str, str]) -> Column:
     """Display name by code; NULL for a code without one."""
-    label = None
-    for code, name in names.items():
-        label = F.when(value == code, name) if label is None else label.when(value == code, name)
-    return label
+    return _cases([(value == code, name) for code, name in names.items()])
 
 
 def rank_in(value: Column, order: Sequence[str]) -> Column:
     """1-based place of ``value`` in a fixed order; NULL when it is not there."""
-    place = None
-    for i, code in enumerate(order, start=1):
-        place = F.when(value == code, i) if place is None else place.when(value == code, i)
-    return place
+    return _cases([(value == code, i) for i, code in enumerate(order, start=1)])
 
 
 def indicator(condition: Column) -> Column:

@@ -38,8 +38,8 @@ def lookup(
     hot = F.broadcast(table.where(F.col(rows_column) > hot_rows))
     rest = table.where(F.coalesce(F.col(rows_column) <= hot_rows, F.lit(True)))
     match = _match("f", "t", keys, match_nulls)
-    in_hot = facts.alias("f").join(hot.alias("t"), match).select(
-        "f.*", *[F.col(f"t.{c}").alias(c) for c in take])
+    in_hot = facts.alias("f").join(hot.alias("t"), match).selectExpr(
+        "f.*", *[f"t.`{c}`" for c in take])
     others = facts.alias("f").join(hot.alias("t"), match, "left_anti")
     return in_hot.unionByName(_left(others, rest, keys, take, match_nulls))
 
@@ -47,16 +47,13 @@ def lookup(
 def _match(left, right, keys, match_nulls):
     if match_nulls:
         return null_safe(left, right, keys)
-    condition = F.lit(True)
-    for k in keys:
-        condition = condition & (F.col(f"{left}.{k}") == F.col(f"{right}.{k}"))
-    return condition
+    return F.expr(" AND ".join(f"{left}.`{k}` = {right}.`{k}`" for k in keys))
 
 
 def _left(facts, table, keys, take, match_nulls):
     return facts.alias("f").join(
         table.alias("t"), _match("f", "t", keys, match_nulls), "left"
-    ).select("f.*", *[F.col(f"t.{c}").alias(c) for c in take])
+    ).selectExpr("f.*", *[f"t.`{c}`" for c in take])
 
 
 def attach(
@@ -66,5 +63,6 @@ def attach(
     """Join two aggregates of the same grain; the right side adds its non-key columns."""
     keys = list(keys)
     extra = [c for c in right.columns if c not in keys]
-    return left.alias("l").join(right.alias("r"), _match("l", "r", keys, match_nulls), how).select(
-        "l.*", *[F.col(f"r.{c}").alias(c) for c in extra])
+    return left.alias("l").join(
+        right.alias("r"), _match("l", "r", keys, match_nulls), how
+    ).selectExpr("l.*", *[f"r.`{c}`" for c in extra])

@@ -16,26 +16,22 @@ LINEAR_BINS = 4096        # equal-width slices between a key's smallest and larg
 LOG_BINS = 4096           # slices per factor e, for ranges stretched by a few extreme values
 
 
-def order_bin(value: Column, low: Column, high: Column) -> Column:
-    """A bin number that never decreases as ``value`` grows.
+def order_bin(value: str, low: str, high: str) -> str:
+    """SQL for a bin number that never decreases as ``value`` grows.
 
     It adds an equal-width and a logarithmic slice number. Both are non-decreasing, so the sum is
     too, and two values share a bin only when they share both slices: evenly spread values are
     split by the first, values squeezed by an outlier by the second. The number of bins of
     a key depends on its value range, not on its row count.
     """
-    span = F.nullif(high - low, F.lit(0.0))
-    linear = F.coalesce(F.floor((value - low) / span * LINEAR_BINS), F.lit(0))
-    size = F.floor(F.log1p(F.abs(value)) * LOG_BINS)
-    return linear + F.when(value < 0, -size).otherwise(size)
+    linear = f"coalesce(floor(({value} - {low}) / nullif({high} - {low}, 0D) * {LINEAR_BINS}), 0)"
+    size = f"floor(log1p(abs({value})) * {LOG_BINS})"
+    return f"{linear} + CASE WHEN {value} < 0 THEN -{size} ELSE {size} END"
 
 
 def null_safe(left: str, right: str, keys: Sequence[str]) -> Column:
     """Equality on all keys with NULL equal to NULL, for two aliased sides."""
-    condition = F.lit(True)
-    for k in keys:
-        condition = condition & F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}"))
-    return condition
+    return F.expr(" AND ".join(f"{left}.`{k}` <=> {right}.`{k}`" for k in keys) or "true")
 
 
 def with_adjacent(
@@ -55,14 +51,13 @@ def with_adjacent(
     )
     spans = counts.groupBy(*keys).agg(F.min("_v").alias("_low"), F.max("_v").alias("_high"))
     if keys:
-        bound = counts.alias("c").join(spans.alias("s"), null_safe("c", "s", keys)).select(
+        bound = counts.alias("c").join(spans.alias("s"), null_safe("c", "s", keys)).selectExpr(
             "c.*", "s._low", "s._high")
-        low, high = F.col("_low"), F.col("_high")
     else:
-        bound = counts
-        low = spans.select("_low").scalar()
-        high = spans.select("_high").scalar()
-    binned = bound.withColumn("_bin", order_bin(F.col("_v"), low, high)).drop("_low", "_high", "_v")
+        bound = counts.withColumns({
+            "_low": spans.select("_low").scalar(), "_high": spans.select("_high").scalar()})
+    binned = bound.withColumn("_bin", F.expr(order_bin("_v", "_low", "_high"))).drop(
+        "_low", "_high", "_v")
 
     order = F.col(value).asc() if step < 0 else F.col(value).desc()
     inside = Window.partitionBy(*keys, "_bin").orderBy(order)

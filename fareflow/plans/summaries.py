@@ -17,8 +17,21 @@ def flagged(name: str) -> Column:
     return F.when(F.col("any_rule_flag") == 1, F.col(name))
 
 
-def normal(name: str) -> Column:
-    return F.when(F.col("any_rule_flag") == 0, F.col(name))
+BOOKING_MEASURES = [
+    "count(1) AS total_bookings",
+    "sum(any_rule_flag) AS flagged_bookings",
+    "sum(r1_price_outlier) AS r1_flags",
+    "sum(r2_seat_scarcity) AS r2_flags",
+    "sum(r3_monopoly_premium) AS r3_flags",
+    "sum(total_fare) AS fare_sum",
+    "avg(total_fare) AS avg_fare",
+    "stddev(total_fare) AS stddev_fare",
+    "min(total_fare) AS min_fare",
+    "max(total_fare) AS max_fare",
+    "coalesce(sum(total_fare) FILTER (WHERE any_rule_flag = 1), 0D) AS flagged_fare_sum",
+    "avg(total_fare) FILTER (WHERE any_rule_flag = 1) AS avg_flagged_fare",
+    "avg(total_fare) FILTER (WHERE any_rule_flag = 0) AS avg_normal_fare",
+]
 
 
 def summarise_bookings(features: DataFrame, keys: Sequence[str], *more: Column) -> DataFrame:
@@ -27,22 +40,7 @@ def summarise_bookings(features: DataFrame, keys: Sequence[str], *more: Column)
     All but the distinct counts a caller may add combine before the shuffle, so a hot key
     costs one row per task.
     """
-    return features.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("total_bookings"),
-        F.sum("any_rule_flag").alias("flagged_bookings"),
-        F.sum("r1_price_outlier").alias("r1_flags"),
-        F.sum("r2_seat_scarcity").alias("r2_flags"),
-        F.sum("r3_monopoly_premium").alias("r3_flags"),
-        F.sum("total_fare").alias("fare_sum"),
-        F.avg("total_fare").alias("avg_fare"),
-        F.stddev("total_fare").alias("stddev_fare"),
-        F.min("total_fare").alias("min_fare"),
-        F.max("total_fare").alias("max_fare"),
-        F.coalesce(F.sum(flagged("total_fare")), F.lit(0.0)).alias("flagged_fare_sum"),
-        F.avg(flagged("total_fare")).alias("avg_flagged_fare"),
-        F.avg(normal("total_fare")).alias("avg_normal_fare"),
-        *more,
-    )
+    return features.groupBy(*keys).agg(*map(F.expr, BOOKING_MEASURES), *more)
 
 
 def fare_medians(

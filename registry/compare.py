@@ -2,16 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
-
-from fareflow.functions.numbers import rounded
+from pyspark.sql import DataFrame
 
 DIGITS = 4
 
 
 def comparable(df: DataFrame) -> DataFrame:
-    return df.select([
-        rounded(F.col(n), DIGITS).alias(n) if t == "double" else F.col(n) for n, t in df.dtypes
+    return df.selectExpr(*[
+        f"{sql_rounded(f'`{n}`')} AS `{n}`" if t == "double" else f"`{n}`" for n, t in df.dtypes
     ])
 
 
