@@ -1,21 +1,27 @@
 """Order-dependent work without putting one ordered group into one task.
 
 A plain ``lag``/``lead`` or running count sorts a whole key in one task. Here the value range of a
-key is cut into bins that keep the order; bins are sorted in parallel, and only one summary row
-per bin is brought together. The bin is computed from the value alone, so a recomputed task
-always sees the same bins.
+key is cut into bins that keep the order, and each bin's own range is cut once more, so that values
+crowded into a small part of the range are spread too. Bins are sorted in parallel, and only one
+summary row per bin is brought together. Bins follow from the values alone, so a recomputed
+task always sees the same ones.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 LINEAR_BINS = 4096        # equal-width slices between a key's smallest and largest value
 LOG_BINS = 4096           # slices per factor e, for ranges stretched by a few extreme values
 
 
+def even_bin(value: str, low: str, high: str) -> str:
+    """SQL for an equal-width slice number of ``value`` between ``low`` and ``high``."""
+    return f"coalesce(floor(({value} - {low}) / nullif({high} - {low}, 0D) * {LINEAR_BINS}), 0)"
+
+
 def order_bin(value: str, low: str, high: str) -> str:
     """SQL for a bin number that never decreases as ``value`` grows.
 
@@ -24,9 +30,8 @@ def order_bin(value: str, low: str, high: str) -> str:
     split by the first, values squeezed by an outlier by the second. The number of bins of
     a key depends on its value range, not on its row count.
     """
-    linear = f"coalesce(floor(({value} - {low}) / nullif({high} - {low}, 0D) * {LINEAR_BINS}), 0)"
     size = f"floor(log1p(abs({value})) * {LOG_BINS})"
-    return f"{linear} + CASE WHEN {value} < 0 THEN -{size} ELSE {size} END"
+    return f"{even_bin(value, low, high)} + CASE WHEN {value} < 0 THEN -{size} ELSE {size} END"
 
 
 def null_safe(left: str, right: str, keys: Sequence[str]) -> Column:
@@ -56,24 +61,27 @@ def with_adjacent(
     else:
         bound = counts.withColumns({
             "_low": spans.select("_low").scalar(), "_high": spans.select("_high").scalar()})
-    binned = bound.withColumn("_bin", F.expr(order_bin("_v", "_low", "_high"))).drop(
-        "_low", "_high", "_v")
+    binned = bound.withColumn("_bin", F.expr(order_bin("_v", "_low", "_high"))).drop("_low", "_high")
+
+    facing, order = ("max", "ASC") if step < 0 else ("min", "DESC")
+    before = f"lag(`{value}`) OVER (PARTITION BY {{}} ORDER BY `{value}` {order})"
+    carry = f"lag(_edge) OVER (PARTITION BY {{}} ORDER BY {{}} {order})"
+    edge = F.expr(f"{facing}(`{value}`) AS _edge")
+    coarse, fine = [*keys, "_bin"], [*keys, "_bin", "_part"]
 
-    order = F.col(value).asc() if step < 0 else F.col(value).desc()
-    inside = Window.partitionBy(*keys, "_bin").orderBy(order)
-    facing = F.max(value) if step < 0 else F.min(value)
-    bin_order = F.col("_bin").asc() if step < 0 else F.col("_bin").desc()
     # One row per bin: bounded by the value range, however many rows the key has.
-    edges = binned.groupBy(*keys, "_bin").agg(facing.alias("_edge")).withColumn(
-        "_carry", F.lag("_edge").over(Window.partitionBy(*(keys or [F.lit(0)])).orderBy(bin_order)))
-    joined = binned.withColumn("_near", F.lag(value).over(inside)).alias("b").join(
-        edges.alias("e"), null_safe("b", "e", [*keys, "_bin"]))
-    return joined.select(
-        *[F.col(f"b.{k}").alias(k) for k in keys],
-        F.col(f"b.{value}").alias(value),
-        F.col("b.n_rows").alias("n_rows"),
-        F.coalesce(F.col("b._near"), F.col("e._carry")).alias(out),
-    )
+    bins = binned.groupBy(*coarse).agg(
+        edge, F.min("_v").alias("_low"), F.max("_v").alias("_high"),
+    ).selectExpr(*coarse, "_low", "_high",
+                 carry.format(", ".join(keys) or "0", "_bin") + " AS _from_bin")
+    parted = binned.alias("a").join(bins.alias("b"), null_safe("a", "b", coarse)).selectExpr(
+        "a.*", "b._from_bin", f"{even_bin('a._v', 'b._low', 'b._high')} AS _part")
+    parts = parted.groupBy(*fine).agg(edge).selectExpr(
+        *fine, carry.format(", ".join(coarse), "_part") + " AS _from_part")
+    inside = parted.selectExpr("*", before.format(", ".join(fine)) + " AS _near")
+    return inside.alias("a").join(parts.alias("b"), null_safe("a", "b", fine)).selectExpr(
+        *[f"a.`{k}`" for k in [*keys, value, "n_rows"]],
+        f"coalesce(a._near, b._from_part, a._from_bin) AS `{out}`")
 
 
 def _as_double(df: DataFrame, value: str) -> Column:
