@@ -30,7 +30,7 @@ def spread_small(df: DataFrame, *keys: str, limit: int = SMALL_BYTES) -> DataFra
 def write_table(df: DataFrame, path: str, partition_by=()) -> DataFrame:
     """Create or replace the Parquet table at ``path`` and return it."""
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
 def shared_folder(spark: SparkSession) -> str:
