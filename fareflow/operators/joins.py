@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, functions as F
 from fareflow.operators.ordering import null_safe
 from fareflow.sources.tables import plan_bytes
 
-BROADCAST_BYTES = 64 * 1024 * 1024
+# Stored bytes; a hash table in memory takes up to about ten times as much.
+BROADCAST_BYTES = 16 * 1024 * 1024
 HOT_ROWS = 2_000_000
 
 

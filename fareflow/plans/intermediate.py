@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from fareflow.functions import bands, numbers, text
 from fareflow.operators.joins import lookup
-from fareflow.operators.quantiles import exact_percentiles
+from fareflow.operators.quantiles import percentiles_of_small_groups
 from fareflow.params import STANDARD_PERCENTILES, FareParams
 
 DAILY_KEYS = ["route", "carrier_code", "dtf_bucket", "flight_date"]
@@ -68,7 +68,7 @@ def int_route_competition(competition: DataFrame) -> DataFrame:
 def int_route_daily_prices(staged: DataFrame, carriers: DataFrame) -> DataFrame:
     """Median and 95th percentile of fare and of fare to base fare, per route, carrier, window, day."""
     fare, ratio = F.col("total_fare"), F.col("_ratio")
-    prices = exact_percentiles(
+    prices = percentiles_of_small_groups(
         staged.select(
             "route", F.col("marketing_carrier").alias("carrier_code"),
             bands.booking_window(F.col("days_to_flight")).alias("dtf_bucket"), "flight_date",

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,19 +21,21 @@ NAMES = (
 )
 
 
-@lru_cache(maxsize=8)
-def _tables(application: str, folder: str) -> FareTables:
-    # The fares are stored first, as a source table would be: staging then reads columns from
-    # files, and its generated code is not fused with that of the joins that make the fares.
-    spark = SparkSession.getActiveSession()
-    run = RunFolder(spark)
-    run.write("raw_fares", fares_from_folder(spark, folder))
-    return FareTables(read_fares(spark, run.path("raw_fares")), folder=run)
+_built: dict[tuple[str, str], FareTables] = {}
 
 
 def fare_tables(spark: SparkSession, folder: str) -> FareTables:
-    """The tables of a folder; their shared parts are written once per application."""
-    return _tables(spark.sparkContext.applicationId, folder)
+    """The tables of a folder; their shared parts are written once per application.
+
+    The fares are stored first, as a source table would be: staging then reads columns from
+    files, and its generated code is not fused with that of the joins that make the fares.
+    """
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _built:
+        run = RunFolder(spark)
+        run.write("raw_fares", fares_from_folder(spark, folder))
+        _built[key] = FareTables(read_fares(spark, run.path("raw_fares")), folder=run)
+    return _built[key]
 
 
 def _named(name: str) -> Callable[[SparkSession, str], DataFrame]:
