@@ -11,7 +11,13 @@ def whole(value: Column, scale: int = 0) -> Column:
     Whole currency units are exact in a double up to 2**53, and so are their sums, which
     keeps totals independent of the order in which tasks finish.
     """
-    return value.cast(f"decimal(18,{scale})").cast("double")
+    if scale:
+        return value.cast(f"decimal(18,{scale})").cast("double")
+    # The part after the point is exact in binary, so this needs no decimal type.
+    size = F.abs(value.cast("double"))
+    below = F.floor(size)
+    up = F.when(size - below >= 0.5, below + 1).otherwise(below)
+    return F.signum(value.cast("double")) * up
 
 
 def ratio(numerator: Column, denominator: Column) -> Column:

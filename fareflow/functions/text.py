@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-SEGMENT_DELIMITER = "[|][|]"          # a regular expression: two literal bars
+SEGMENT_DELIMITER = "||"
 
 
 def split_segments(packed: Column) -> Column:
     """A ``a||b||c`` string as an array; NULL stays NULL."""
-    return F.split(F.trim(packed), SEGMENT_DELIMITER)
+    return F.split(F.trim(packed), "[|][|]")      # a regular expression: two literal bars
 
 
 def clean_segment(element: Column) -> Column:
@@ -18,11 +18,11 @@ def clean_segment(element: Column) -> Column:
 
 
 def first_segment(packed: Column) -> Column:
-    return clean_segment(F.get(split_segments(packed), 0))
+    return clean_segment(F.substring_index(F.trim(packed), SEGMENT_DELIMITER, 1))
 
 
 def last_segment(packed: Column) -> Column:
-    return clean_segment(F.element_at(split_segments(packed), -1))
+    return clean_segment(F.substring_index(F.trim(packed), SEGMENT_DELIMITER, -1))
 
 
 def concat_text(*parts: Column) -> Column:

@@ -16,6 +16,17 @@ from fareflow.sources import seeds
 from fareflow.sources.tables import RunFolder
 
 
+# The order tables are read in; their content does not depend on it.
+READING_ORDER = {
+    "booking_window_analysis": lambda: [
+        bands.rank_in(F.col("dtf_bucket"), bands.WINDOWS), F.col("fare_bucket")],
+    "timeseries_metrics": lambda: [F.col("flight_date")],
+    "crosstab_summary": lambda: [F.col("dtf_sort_order"), F.col("fare_sort_order")],
+    "carrier_summary": lambda: [F.desc("violation_rate"), F.desc("total_bookings")],
+    "route_summary": lambda: [F.desc("total_bookings")],
+}
+
+
 class FareTables:
     """Builds the tables on demand.
 
@@ -57,7 +68,7 @@ class FareTables:
 
     def features_plan(self) -> DataFrame:
         return hub.pricing_features(
-            self.staged, self.benchmarks, self.competition, self.airports, self.params)
+            self.staged, self.benchmarks, self.competition, params=self.params)
 
     @cached_property
     def staged(self) -> DataFrame:
@@ -155,6 +166,12 @@ class FareTables:
     def booking_sample(self) -> DataFrame:
         return sample.booking_sample(self.features, self.params)
 
+    def presented(self, name: str) -> DataFrame:
+        """A published table in its reading order, where it has one."""
+        table = getattr(self, name)()
+        order = READING_ORDER.get(name)
+        return table.orderBy(*order()) if order else table
+
     # Checks on the tables.
 
     def table_checks(self) -> list[checks.Outcome]:

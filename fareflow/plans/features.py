@@ -16,10 +16,14 @@ FLAGS = ["r1_price_outlier", "r2_seat_scarcity", "r3_monopoly_premium", "any_rul
 
 
 def pricing_features(
-    staged: DataFrame, benchmarks: DataFrame, competition: DataFrame, airports: DataFrame,
-    params: FareParams = FareParams(),
+    staged: DataFrame, benchmarks: DataFrame, competition: DataFrame,
+    airports: DataFrame | None = None, params: FareParams = FareParams(),
 ) -> DataFrame:
-    """One row per booking. With per-route tables small enough to broadcast, no booking is shuffled."""
+    """One row per booking. With per-route tables small enough to broadcast, no booking is shuffled.
+
+    ``airports`` is a longer coordinate list than staging had: it gives a distance to bookings still
+    without one. Staging's own list would find nothing more, so it need not be joined again.
+    """
     bookings = staged.select(
         "legid", "origin", "destination", "route", "search_date", "flight_date", "days_to_flight",
         bands.booking_window(F.col("days_to_flight")).alias("dtf_bucket"),
@@ -31,13 +35,14 @@ def pricing_features(
         F.col("total_miles").alias("staging_trip_dist"),
         F.col("usd_per_mi").alias("staging_usd_per_mi"),
     )
-    # A longer coordinate list than staging had may still give a distance.
-    priced = (
-        with_airports(bookings, airports, "origin", "destination")
-        .withColumn("trip_dist", F.coalesce("staging_trip_dist", endpoint_miles(params)))
-        .withColumn("usd_per_mi", numbers.ratio(F.col("total_fare"), F.col("trip_dist")))
-        .drop("origin_lat", "origin_lon", "destination_lat", "destination_lon")
-    )
+    if airports is None:
+        placed = bookings.withColumn("trip_dist", F.col("staging_trip_dist"))
+    else:
+        placed = with_airports(bookings, airports, "origin", "destination").withColumn(
+            "trip_dist", F.coalesce("staging_trip_dist", endpoint_miles(params))
+        ).drop("origin_lat", "origin_lon", "destination_lat", "destination_lon")
+    priced = placed.withColumn(
+        "usd_per_mi", numbers.ratio(F.col("total_fare"), F.col("trip_dist")))
     found = lookup(
         priced, benchmarks, ["route", "fare_bucket"], [*PERCENTILE_COLUMNS, "r2_usd_per_mi"],
         "legs_sampled")

@@ -36,7 +36,8 @@ def int_fare_legs(staged: DataFrame) -> DataFrame:
         return text.clean_segment(F.get(F.col(name), F.col("_at")))
 
     def number(name: str) -> Column:
-        return text.safe_cast(element(name), "decimal(38,0)").cast("bigint").alias(name)
+        whole = text.safe_cast(element(name), "decimal(38,0)")
+        return text.safe_cast(whole, "bigint").alias(name)
 
     return legs.select(
         "legid", (F.col("_at") + 1).alias("leg_number"),

@@ -9,6 +9,7 @@ from fareflow.operators.aggregates import sum_where
 from fareflow.plans.features import FLAGS
 from fareflow.plans.intermediate import dim_carrier, with_daily_median
 
+# Rule names by flag column.
 RULE_NAMES = {
     "r1_price_outlier": "price_outlier",
     "r2_seat_scarcity": "seat_scarcity",

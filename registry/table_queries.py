@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from fareflow.functions import arrays, dates, geo, numbers, text
 from fareflow.operators import aggregates, checks, relations, reshape
-from fareflow.operators.quantiles import exact_percentiles
+from fareflow.operators.quantiles import exact_percentiles, with_overall_percentile
 from fareflow.plans.staging import with_airports
 from fareflow.sources.periods import load_by_period
 from fareflow.sources.tables import RunFolder
@@ -185,6 +185,13 @@ def percentiles_by_flag(spark, folder):
         wide_group=1_000)
 
 
+@registered
+def dear_orders(spark, folder):
+    """Orders above the 97th percentile of all order prices."""
+    orders = with_overall_percentile(read(spark, folder, "orders"), "o_totalprice", 0.97, "p97")
+    return orders.where("o_totalprice > p97").select("o_orderkey", "o_totalprice", "p97")
+
+
 # Column functions.
 
 @registered

@@ -148,6 +148,10 @@ def table_oracles() -> dict[str, str]:
                 quantile_cont(l_extendedprice, 0.95) AS p95,
                 quantile_cont(l_extendedprice, 0.97) AS p97, max(l_extendedprice) AS top,
                 count(l_extendedprice) AS n_prices FROM lineitem""", "p50 p90 p95 p97 top"),
+        "dear_orders": finish("""
+            SELECT o_orderkey, o_totalprice, p97 FROM orders,
+                (SELECT quantile_cont(o_totalprice, 0.97) AS p97 FROM orders)
+            WHERE o_totalprice > p97""", "o_totalprice p97"),
         "percentiles_by_flag": finish("""
             SELECT l_returnflag, l_suppkey, quantile_cont(l_extendedprice, 0.5) AS median_price,
                 quantile_cont(l_extendedprice, 0.95) AS p95_price,

@@ -137,6 +137,23 @@ def test_rules(market):
                     <= r["p97_usd_per_mi"])
 
 
+def test_a_longer_airport_list_adds_distances(market, spark):
+    from fareflow.plans.features import pricing_features
+    longer = market.airports.union(spark.sql("SELECT 'ZZZ', 40.0D, -80.0D"))
+    hub = pricing_features(market.staged, market.benchmarks, market.competition, longer)
+    assert hub.where("legid = 'f'").first()["trip_dist"] > 1500
+    same = pricing_features(market.staged, market.benchmarks, market.competition, market.airports)
+    assert same.exceptAll(market.features).count() == 0
+
+
+def test_reading_order(market):
+    assert [r["dtf_sort_order"] for r in market.presented("crosstab_summary").collect()] == [
+        i for i in (1, 2, 3, 4) for _ in range(3)]
+    days = [r["flight_date"] for r in market.presented("timeseries_metrics").collect()]
+    assert days == sorted(days)
+    assert market.presented("route_map_data").count() == 2
+
+
 def test_windowed_rules_agree_where_a_bucket_is_known(market):
     hub = {r["legid"]: r for r in market.pricing_features().collect()}
     ruled = market.int_rules().collect()

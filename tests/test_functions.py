@@ -122,6 +122,8 @@ def test_numbers(spark):
     assert one(spark, numbers.safe_add(F.col("a"), F.col("b")), a=("int", None), b=("int", None)) == 0
     assert one(spark, numbers.ratio(F.lit(1), F.lit(0))) is None
     assert [one(spark, numbers.whole(F.lit(x))) for x in (0.5, 1.5, 2.5, -2.5)] == [1, 2, 3, -3]
+    assert one(spark, numbers.whole(F.lit(0.49999999999999994))) == 0
+    assert one(spark, numbers.whole(F.lit(None).cast("double"))) is None
     assert one(spark, numbers.whole(F.lit(1.235), 2)) == 1.24
     assert one(spark, numbers.rounded(F.lit(1.005))) == 1.01
     assert one(spark, numbers.clamp(F.lit(None).cast("double"), 0.0, 1.0)) is None
