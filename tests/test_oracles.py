@@ -5,7 +5,11 @@ import os
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from registry.fare_queries import fare_queries
+from registry.fare_sql import fare_oracles
+from registry.table_queries import table_queries
+from registry.table_sql import table_oracles
 
 FOLDER = "/root/testdata/sf0.001"
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
@@ -14,6 +18,14 @@ duckdb = pytest.importorskip("duckdb")
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
 
 
+def queries():
+    return {**fare_queries(), **table_queries()}
+
+
+def oracle_sql():
+    return {**fare_oracles(), **table_oracles()}
+
+
 @pytest.fixture(scope="module")
 def database():
     connection = duckdb.connect()
