@@ -49,7 +49,7 @@ def test_compatible_pairs_are_those_that_encode_to_themselves(encoding):
     for _ in range(3000):
         left, right = draw.choice(ids), draw.choice(ids)
         whole = own.tokens[left] + own.tokens[right]
-        assert own.compatible(left, right) == (encoding.encode_single_piece(whole) == [left, right])
+        assert own.compatible(left, right) == (encoding.encode_ordinary(whole.decode()) == [left, right])
 
 
 def test_counts_are_those_of_the_library():
