@@ -15,7 +15,6 @@ ordinary text. Rows are never merged: repeated ids and texts give a result each.
 from __future__ import annotations
 
 import base64
-import hashlib
 from functools import lru_cache
 
 import ahocorasick
@@ -28,6 +27,7 @@ from fareflow.llm.common import arrow_map, pick
 
 CACHED_PIECES = 300_000
 CACHED_PAIRS = 1_000_000
+ROWS_AT_ONCE = 256
 
 
 class BytePairCodec:
@@ -152,41 +152,16 @@ def codec(rank_file: str, pattern: str) -> BytePairCodec:
 def encode_documents(
     docs: DataFrame, rank_file: str, pattern: str, id_column: str = "doc_id", text_column: str = "text",
 ) -> DataFrame:
-    """doc_id, ids (array of int) and the text decoded from them again (binary)."""
+    """doc_id, ids (binary: packed little-endian unsigned 32-bit integers) and, decoded from them, decoded (binary)."""
     def work(batches):
         coder = codec(rank_file, pattern)
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                ids = [coder.encode(t or "") for t in part.column(1).to_pylist()]
-                offsets = np.concatenate([[0], np.cumsum([len(i) // 4 for i in ids])]).astype(np.int32)
-                values = pa.array(np.frombuffer(b"".join(ids), "<i4"))
+            for at in range(0, batch.num_rows, ROWS_AT_ONCE):
+                part = batch.slice(at, ROWS_AT_ONCE)
+                ids = [coder.encode(text.as_py() or "") for text in part.column(1)]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.ListArray.from_arrays(pa.array(offsets), values),
-                     pa.array([coder.decode(i) for i in ids], pa.binary())],
+                    [part.column(0), pa.array(ids, pa.binary()), pa.array(map(coder.decode, ids), pa.binary())],
                     ["doc_id", "ids", "decoded"])
 
     docs = pick(docs, id_column, text_column).toDF("doc_id", "text")
-    return arrow_map(docs, work, f"doc_id {docs.dtypes[0][1]}, ids array<int>, decoded binary")
-
-
-def token_digests(
-    docs: DataFrame, rank_file: str, pattern: str, id_column: str = "doc_id", text_column: str = "text",
-) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256 and decoded_sha256: the round trip without shipping the ids."""
-    def work(batches):
-        coder = codec(rank_file, pattern)
-        for batch in batches:
-            rows = []
-            for text in batch.column(1):
-                ids = coder.encode(text.as_py() or "")
-                rows.append((len(ids) // 4, hashlib.sha256(ids).hexdigest(),
-                             hashlib.sha256(coder.decode(ids)).hexdigest()))
-            counts, ids, decoded = zip(*rows) if rows else ((), (), ())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(counts, pa.int64()), pa.array(ids, pa.string()),
-                 pa.array(decoded, pa.string())],
-                ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-
-    docs = pick(docs, id_column, text_column).toDF("doc_id", "text")
-    return arrow_map(docs, work, f"doc_id {docs.dtypes[0][1]}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+    return arrow_map(docs, work, f"doc_id {docs.dtypes[0][1]}, ids binary, decoded binary")
