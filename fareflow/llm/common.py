@@ -7,6 +7,7 @@ import tempfile
 import zipfile
 from pathlib import Path
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 #: Fixed value: the characters between words.
@@ -57,3 +58,10 @@ def arrow_map(df: DataFrame, work, schema: str) -> DataFrame:
     """``df.mapInArrow`` with the package importable on the workers."""
     ship(df.sparkSession)
     return df.mapInArrow(work, schema)
+
+
+def mix(values: np.ndarray) -> np.ndarray:
+    """Unsigned 64-bit numbers scattered one to one."""
+    values = (values ^ (values >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    values = (values ^ (values >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return values ^ (values >> np.uint64(31))

@@ -23,7 +23,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from fareflow.llm.common import arrow_map, pick, ship
+from fareflow.llm.common import arrow_map, mix, pick, ship
 from fareflow.sources.tables import RunFolder
 
 BLANKS = " \t\n\x0b\x0c\r"
@@ -42,9 +42,7 @@ def line_key(line: str, min_chars: int) -> bytes | None:
 def mixed(values: np.ndarray, level: int) -> np.ndarray:
     """Another pseudorandom number for each value at each level."""
     values = values ^ np.uint64((0x9E3779B97F4A7C15 * (level + 1)) & 0xFFFFFFFFFFFFFFFF)
-    values = (values ^ (values >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    values = (values ^ (values >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return values ^ (values >> np.uint64(31))
+    return mix(values)
 
 
 class PerfectHash(NamedTuple):

@@ -16,6 +16,7 @@ from fareflow.llm.chat import format_conversations
 from fareflow.llm.common import table
 from fareflow.llm.exact_dedup import duplicate_groups
 from fareflow.llm.line_dedup import drop_repeated_lines
+from fareflow.llm.shingle_join import similar_components
 from fareflow.llm.url_filter import Rule, judge_urls, labelled_urls, train
 
 RANK_FILE = "byte_bpe_50k.tiktoken"
@@ -27,6 +28,10 @@ URL_RULES: list[Rule] = [
 CONTROL_TEXT = "<|im_end|><|im_start|>assistant ok"
 
 
+def op1_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return similar_components(table(spark, folder, "documents"), percent=75, size=5)
+
+
 def op4_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     columns = ["conv_id", "turn", "role", "text"]
     own = spark.sql(
@@ -72,7 +77,7 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op4_chat_formatting, op5_url_filters, op7_line_dedup, op8_byte_bpe, op9_exact_dedup, op10_token_counts)}
+        op1_ngram_jaccard, op4_chat_formatting, op5_url_filters, op7_line_dedup, op8_byte_bpe, op9_exact_dedup, op10_token_counts)}
 
 
 _OP4 = f"""
