@@ -16,8 +16,10 @@ from fareflow.llm.chat import format_conversations
 from fareflow.llm.common import table
 from fareflow.llm.exact_dedup import duplicate_groups
 from fareflow.llm.line_dedup import drop_repeated_lines
+from fareflow.llm.line_quality import judge_documents, train as train_lines
+from fareflow.llm.mixing import mix
 from fareflow.llm.shingle_join import similar_components
-from fareflow.llm.url_filter import Rule, judge_urls, labelled_urls, train
+from fareflow.llm.url_filter import Rule, judge_urls, labelled_urls, train as train_urls
 
 RANK_FILE = "byte_bpe_50k.tiktoken"
 TOKENIZER_FILE = "byte_bpe_50k.json"
@@ -32,6 +34,11 @@ def op1_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return similar_components(table(spark, folder, "documents"), percent=75, size=5)
 
 
+def op2_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mix(table(spark, folder, "documents"), weights=(5, 2, 1), cap=3).select(
+        "doc_id", "size", "source_size", "target", "taken")
+
+
 def op4_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     columns = ["conv_id", "turn", "role", "text"]
     own = spark.sql(
@@ -47,11 +54,18 @@ def op4_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op5_url_filters(spark: SparkSession, folder: str) -> DataFrame:
-    weights, bias = train(labelled_urls(spark))
+    weights, bias = train_urls(labelled_urls(spark))
     return judge_urls(table(spark, folder, "pages"), URL_RULES, weights, bias).select(
         "page_id", "host", "path", "rule", "verdict")
 
 
+def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    chain = train_lines(docs, table(spark, folder, "labels"))
+    return judge_documents(docs, chain).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 def op7_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return drop_repeated_lines(table(spark, folder, "documents"), min_chars=40, min_docs=5).select(
         "doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
@@ -77,7 +91,8 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_ngram_jaccard, op4_chat_formatting, op5_url_filters, op7_line_dedup, op8_byte_bpe, op9_exact_dedup, op10_token_counts)}
+        op1_ngram_jaccard, op2_source_mixing, op4_chat_formatting, op5_url_filters, op6_quality_rules, op7_line_dedup,
+        op8_byte_bpe, op9_exact_dedup, op10_token_counts)}
 
 
 _OP4 = f"""
