@@ -18,6 +18,7 @@ from fareflow.llm.exact_dedup import duplicate_groups
 from fareflow.llm.line_dedup import drop_repeated_lines
 from fareflow.llm.line_quality import judge_documents, train as train_lines
 from fareflow.llm.mixing import mix
+from fareflow.llm.pii import find_personal_data, trained_tagger
 from fareflow.llm.shingle_join import similar_components
 from fareflow.llm.url_filter import Rule, judge_urls, labelled_urls, train as train_urls
 
@@ -39,6 +40,12 @@ def op2_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken")
 
 
+def op3_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    """The counts and the hash are those of the base spans; the network's spans stand in ``spans`` alone."""
+    return find_personal_data(table(spark, folder, "documents"), trained_tagger()).select(
+        "doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base_spans", 256).alias("base_sha256"), "spans")
+
+
 def op4_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     columns = ["conv_id", "turn", "role", "text"]
     own = spark.sql(
@@ -91,8 +98,8 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_ngram_jaccard, op2_source_mixing, op4_chat_formatting, op5_url_filters, op6_quality_rules, op7_line_dedup,
-        op8_byte_bpe, op9_exact_dedup, op10_token_counts)}
+        op1_ngram_jaccard, op2_source_mixing, op3_personal_data, op4_chat_formatting, op5_url_filters,
+        op6_quality_rules, op7_line_dedup, op8_byte_bpe, op9_exact_dedup, op10_token_counts)}
 
 
 _OP4 = f"""
