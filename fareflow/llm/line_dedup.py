@@ -170,7 +170,10 @@ def probe(hashes: DataFrame, shards: DataFrame, n_shards: int) -> DataFrame:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(x[held][lost]) for x in (d, a, b)], ["_doc", "_a", "_b"])
 
-    salts = shards.select("_shard", (F.lit(1) + F.floor(F.col("_probes") / SHARD_PROBES)).alias("_salts"))
+    # At least as many tasks as the session shuffles to, however few shards there are.
+    tasks = int(hashes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    salts = shards.select("_shard", F.greatest(
+        F.lit(-(-2 * tasks // n_shards)).cast("long"), 1 + F.floor(F.col("_probes") / SHARD_PROBES)).alias("_salts"))
     zero = F.lit(0).cast("bigint")
     arrays = shards.join(salts, "_shard").select(
         "_shard", F.explode(F.sequence(zero, F.col("_salts") - 1)).alias("_salt"), F.lit(0).alias("_kind"),
