@@ -9,13 +9,13 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 def list_text(
     value: Column, delimiter: str = ",", order_by: Column | None = None,
-    limit: int | None = None, distinct: bool = False,
+    distinct: bool = False,
 ) -> Column:
-    """Join the group's values to one text, ordered, optionally the first ``limit`` only.
+    """Join all of the group's values to one text, ordered.
 
     Without ``order_by`` the values are sorted, so the text does not depend on task order. The
-    result is one string per group, so this fits groups whose whole list fits a row; with a limit
-    on large groups use :func:`first_list_text`.
+    result is one string per group, so this fits groups whose whole list fits a row; for the
+    first values only use :func:`first_list_text`.
     """
     text = value.cast("string")
     if distinct:
@@ -26,8 +26,6 @@ def list_text(
         pairs = F.array_sort(F.collect_list(
             F.when(text.isNotNull(), F.struct(order_by.alias("o"), text.alias("v")))))
         items = F.transform(pairs, lambda p: p["v"])
-    if limit is not None:
-        items = F.slice(items, 1, limit)
     return F.array_join(items, delimiter)
 
 
@@ -35,7 +33,7 @@ def first_list_text(
     df: DataFrame, keys: Sequence[str], value: str, order_by: Sequence[str], limit: int,
     out: str, delimiter: str = ",",
 ) -> DataFrame:
-    """:func:`list_text` with a limit, for groups of any size.
+    """The first ``limit`` values of each group as one text, for groups of any size.
 
     The row limit is applied before the shuffle (Spark keeps the first ``limit`` rows per key
     and task), so a hot key sends only that many rows from each task.

@@ -31,7 +31,10 @@ def order_bin(value: str, low: str, high: str) -> str:
     a key depends on its value range, not on its row count.
     """
     size = f"floor(log1p(abs({value})) * {LOG_BINS})"
-    return f"{even_bin(value, low, high)} + CASE WHEN {value} < 0 THEN -{size} ELSE {size} END"
+    # Special values have bins of their own, in Spark's order: infinity last but one, NaN last.
+    return (f"CASE WHEN isnan({value}) THEN 4000000000000000000 WHEN {value} = double('inf') THEN 3000000000000000000 "
+            f"WHEN {value} = double('-inf') THEN -3000000000000000000 "
+            f"ELSE {even_bin(value, low, high)} + CASE WHEN {value} < 0 THEN -{size} ELSE {size} END END")
 
 
 def null_safe(left: str, right: str, keys: Sequence[str]) -> Column:

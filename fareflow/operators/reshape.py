@@ -65,16 +65,20 @@ def column_value_counts(df: DataFrame, column: str, where: Column | str | None =
 
 
 def column_values(
-    df: DataFrame, column: str, max_records: int, where: Column | str | None = None,
-    order_by: Sequence[Column] | None = None,
+    df: DataFrame, column: str, limit: int | None = None, where: Column | str | None = None,
+    order_by: Sequence[Column] | None = None, max_values: int = 1000,
 ) -> list:
-    """The ``max_records`` most frequent values, as a list to name pivot columns with.
+    """All values by falling frequency, as a list to name pivot columns with.
 
-    This is the one place where data reaches the driver; the limit bounds it.
+    More than ``max_values`` are an error, since a pivot over a part would leave rows out without a word.
+    A ``limit`` is the caller's own wish for the most frequent ones alone.
     """
     order = order_by or [F.desc("n_rows"), F.asc("value")]
-    top = column_value_counts(df, column, where).orderBy(*order).limit(max_records)
-    return [r["value"] for r in top.collect()]
+    most = max_values + 1 if limit is None else limit
+    top = column_value_counts(df, column, where).orderBy(*order).limit(most).collect()
+    if limit is None and len(top) > max_values:
+        raise ValueError(f"column {column} has more than {max_values} values")
+    return [r["value"] for r in top]
 
 
 def unpivot(

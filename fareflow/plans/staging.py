@@ -45,9 +45,9 @@ def stg_fare_searches(
 ) -> DataFrame:
     """One row per usable searched fare. Narrow: only the fixed lists are joined, by broadcast.
 
-    Rows need both dates (parsed, in order) and a fare. Amounts are rounded to ``fare_scale``.
+    Rows need both dates (parsed, in order) and a fare; NaN is none. Amounts are rounded to ``fare_scale``.
     """
-    usable = raw.where(F.col("totalfare").isNotNull()).withColumns({
+    usable = raw.where(F.col("totalfare").isNotNull() & ~F.isnan("totalfare")).withColumns({
         "search_date": F.try_to_date("searchdate"),
         "flight_date": F.try_to_date("flightdate"),
     }).where(F.col("flight_date") >= F.col("search_date"))

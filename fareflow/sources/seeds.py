@@ -128,18 +128,12 @@ def airport_coordinates(spark: SparkSession, path: str | None = None) -> DataFra
 
 
 def merged_coordinates(airports: DataFrame, extra: DataFrame) -> DataFrame:
-    """Both coordinate lists as one row per upper-cased code, the larger value winning."""
-    own = airports.select(
-        F.upper("iata_code").alias("iata_code"),
-        F.col("lat_deg").alias("airport_lat"),
-        F.col("lon_deg").alias("airport_lon"),
-    )
-    other = extra.dropna(subset=["iata_code", "latitude", "longitude"]).select(
-        F.upper("iata_code").alias("iata_code"),
-        F.col("latitude").alias("airport_lat"),
-        F.col("longitude").alias("airport_lon"),
-    )
-    return own.union(other).groupBy("iata_code").agg(
-        F.max("airport_lat").alias("airport_lat"),
-        F.max("airport_lon").alias("airport_lon"),
-    )
+    """Both coordinate lists as one row per upper-cased code; a place is taken whole, from ``airports`` if it is there."""
+    def points(df, latitude, longitude, priority):
+        return df.dropna(subset=["iata_code", latitude, longitude]).select(
+            F.upper("iata_code").alias("iata_code"), F.lit(priority).alias("priority"),
+            F.struct(F.col(latitude).alias("lat"), F.col(longitude).alias("lon")).alias("at"))
+
+    both = points(airports, "lat_deg", "lon_deg", 1).union(points(extra, "latitude", "longitude", 0))
+    best = both.groupBy("iata_code").agg(F.max(F.struct("priority", "at")).alias("best"))
+    return best.select("iata_code", F.col("best.at.lat").alias("airport_lat"), F.col("best.at.lon").alias("airport_lon"))

@@ -7,26 +7,11 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-SMALL_BYTES = 1024 ** 3
-
-
 def plan_bytes(df: DataFrame) -> int:
     """Catalyst's size of a relation; for a stored table, the size of its files."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def spread_small(df: DataFrame, *keys: str, limit: int = SMALL_BYTES) -> DataFrame:
-    """Spread a small stored table over all cores by key; leave a larger one as it is.
-
-    Parquet is read by row group, and a file of a few hundred MB may hold just one, which would
-    leave all narrow work after the scan to one task. Moving so little is cheap; large tables
-    have row groups enough and are never moved.
-    """
-    if plan_bytes(df) > limit:
-        return df
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, *keys)
-
-
 def write_table(df: DataFrame, path: str, partition_by=()) -> DataFrame:
     """Create or replace the Parquet table at ``path`` and return it."""
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)

@@ -36,7 +36,7 @@ def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
 @registered
 def pivot_orders_by_priority(spark, folder):
     orders = read(spark, folder, "orders")
-    priorities = reshape.column_values(orders, "o_orderpriority", max_records=100)
+    priorities = reshape.column_values(orders, "o_orderpriority")
     return orders.groupBy("o_orderstatus").agg(
         *reshape.pivot(F.col("o_orderpriority"), priorities),
         *reshape.pivot(F.col("o_orderpriority"), priorities, suffix="_total",
@@ -146,12 +146,11 @@ def group_by_first_columns(spark, folder):
 def listagg_types_per_brand(spark, folder):
     part = read(spark, folder, "part")
     by_brand = part.groupBy("p_brand").agg(
-        aggregates.list_text(F.col("p_type"), ",", distinct=True).alias("types"),
-        aggregates.list_text(F.col("p_type"), "_|_", order_by=F.col("p_partkey"), limit=3)
-        .alias("first_types"))
+        aggregates.list_text(F.col("p_type"), ",", distinct=True).alias("types"))
+    first = aggregates.first_list_text(part, ["p_brand"], "p_type", ["p_partkey"], 3, "first_types", "_|_")
     cheapest = aggregates.first_list_text(
         part, ["p_brand"], "p_name", ["p_retailprice", "p_partkey"], 4, "cheapest", "; ")
-    return by_brand.join(cheapest, "p_brand")
+    return by_brand.join(first, "p_brand").join(cheapest, "p_brand")
 
 
 @registered

@@ -21,20 +21,29 @@ def _pivot() -> str:
 
 def _range_check(source: str, keys: str, range_ok: str, next_ok: str, range_name: str,
                  next_name: str, key_column: str) -> str:
-    """The check row by row, then equal rows counted."""
-    part = f"PARTITION BY {keys}" if keys else ""
+    """Ranges sorted into one list per key and read beside that list without its first entry.
+
+    The names of the result's columns are the check's contract (fixed values).
+    """
+    group = f"GROUP BY {keys}" if keys else ""
+    own = f"{keys}," if keys else ""
+    shown = f"{', '.join(k.strip() for k in keys.split(','))}," if keys else ""
     return f"""
-    WITH placed AS (
-        SELECT *, lead(lower_bound) OVER ({part} ORDER BY lower_bound, upper_bound) AS next_lower_bound,
-            row_number() OVER ({part} ORDER BY lower_bound DESC, upper_bound DESC) = 1
-                AS is_last_record
-        FROM ({source})),
-    judged AS (
-        SELECT *, coalesce({range_ok}, false) AS {range_name},
-            coalesce({next_ok}, is_last_record, false) AS {next_name} FROM placed)
-    SELECT {key_column} lower_bound, upper_bound, next_lower_bound, is_last_record, {range_name},
-        {next_name}, count(*) AS n_rows
-    FROM judged WHERE NOT ({range_name} AND {next_name}) GROUP BY ALL"""
+    WITH lists AS (
+        SELECT {own} list({{'lo': lower_bound, 'hi': upper_bound}} ORDER BY lower_bound, upper_bound) AS ranges
+        FROM ({source}) {group}),
+    neighbours AS (
+        SELECT {shown} unnest(ranges) AS here, unnest(list_append(ranges[2:], NULL)) AS after,
+            unnest(range(len(ranges) - 1, -1, -1)) AS behind FROM lists),
+    bounds AS (
+        SELECT {shown} here.lo AS lower_bound, here.hi AS upper_bound, after.lo AS next_lower_bound,
+            behind = 0 AS is_last_record FROM neighbours),
+    verdicts AS (
+        SELECT *, ({range_ok}) IS NOT DISTINCT FROM true AS {range_name},
+            CASE WHEN ({next_ok}) IS NULL THEN is_last_record ELSE ({next_ok}) END AS {next_name} FROM bounds)
+    SELECT {key_column} lower_bound, upper_bound, next_lower_bound, is_last_record, {range_name}, {next_name},
+        count(*) AS n_rows
+    FROM verdicts WHERE NOT {range_name} OR NOT {next_name} GROUP BY ALL"""
 
 
 _FARE_CHECKS = """
