@@ -5,9 +5,11 @@ from __future__ import annotations
 import os
 import tempfile
 import zipfile
+from collections.abc import Iterator
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 #: Fixed value: the characters between words.
@@ -60,6 +62,26 @@ def arrow_map(df: DataFrame, work, schema: str) -> DataFrame:
     return df.mapInArrow(work, schema)
 
 
+def groups_of(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
+    """The runs of equal values in the first ``keys`` columns of sorted rows, across batches."""
+    parts: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = np.stack([batch.column(i).to_numpy(zero_copy_only=False) for i in range(keys)])
+        edges = [0, *(np.flatnonzero((np.diff(columns) != 0).any(axis=0)) + 1).tolist(), batch.num_rows]
+        for start, end in zip(edges, edges[1:]):
+            key = tuple(columns[:, start].tolist())
+            if parts and key != last:
+                yield pa.Table.from_batches(parts)
+                parts = []
+            last = key
+            parts.append(batch.slice(start, end - start))
+    if parts:
+        yield pa.Table.from_batches(parts)
+
+
 def mix(values: np.ndarray) -> np.ndarray:
     """Unsigned 64-bit numbers scattered one to one."""
     values = (values ^ (values >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
