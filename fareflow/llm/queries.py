@@ -15,15 +15,20 @@ from fareflow.llm.bpe_encode import encode_documents
 from fareflow.llm.chat import format_conversations
 from fareflow.llm.common import table
 from fareflow.llm.exact_dedup import duplicate_groups
+from fareflow.llm.lexical import search
 from fareflow.llm.line_dedup import drop_repeated_lines
 from fareflow.llm.line_quality import judge_documents, train as train_lines
+from fareflow.llm.merkle import build_manifest, proofs
 from fareflow.llm.mixing import mix
 from fareflow.llm.pii import find_personal_data, trained_tagger
+from fareflow.llm.piece_bpe import encode_pieces
 from fareflow.llm.shingle_join import similar_components
 from fareflow.llm.url_filter import Rule, judge_urls, labelled_urls, train as train_urls
 
 RANK_FILE = "byte_bpe_50k.tiktoken"
 TOKENIZER_FILE = "byte_bpe_50k.json"
+PIECE_FILE = "piece_bpe_32k.model"
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 URL_RULES: list[Rule] = [
     ("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
     ("allow", "com", "/fr/"), ("block", "com", "/de/"),
@@ -96,10 +101,34 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
         public_tokenizers.PATTERN, limit=512)
 
 
+def op11_piece_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    encoded = encode_pieces(table(spark, folder, "documents"), public_tokenizers.path(PIECE_FILE))
+    return encoded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows whose id has a checksum divisible by 5 are shown with a lower-cased text."""
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    shown = F.when(tampered, F.translate("text", UPPER, LOWER)).otherwise(F.col("text"))
+    manifest = build_manifest(
+        table(spark, folder, "documents"), ["doc_id", "source", "lang", "n_chars", "text"], presented={"text": shown})
+    return proofs(manifest).select(
+        F.col("id").alias("doc_id"), "leaf", "subroot", "root", F.sha2("proof", 256).alias("proof_sha256"), "folded_root",
+        "verified")
+
+
+def op13_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    return search(table(spark, folder, "documents"), table(spark, folder, "benchmark"), k=10)
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_ngram_jaccard, op2_source_mixing, op3_personal_data, op4_chat_formatting, op5_url_filters,
-        op6_quality_rules, op7_line_dedup, op8_byte_bpe, op9_exact_dedup, op10_token_counts)}
+        op6_quality_rules, op7_line_dedup, op8_byte_bpe, op9_exact_dedup, op10_token_counts,
+        op11_piece_bpe, op12_merkle_manifest, op13_lexical_search)}
 
 
 _OP4 = f"""
@@ -147,5 +176,96 @@ FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
 
 
+# Unsigned crc32: eight shifts for each byte of the decimal id. A level of the trees has n nodes; the steps of a
+# proof go up through the tree of the source, then (from its subroot on) through the top tree, whose number is -1.
+_OP12 = f"""
+WITH RECURSIVE docs AS (
+    SELECT *, list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: ascii(x)::BIGINT)),
+        lambda sum, byte: list_reduce(list_concat([xor(sum, byte)], range(8)),
+            lambda c, i: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384::BIGINT) ELSE c // 2 END)) AS inverted
+    FROM documents
+), shown AS (
+    SELECT *, CASE WHEN xor(inverted, 4294967295::BIGINT) % 5 = 0 THEN translate(text, '{UPPER}', '{LOWER}') ELSE text END AS said FROM docs
+), fields AS (
+    SELECT doc_id, source, said IS DISTINCT FROM text AS changed,
+           coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+           || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') AS head,
+           coalesce(strlen(text) || ':' || text, '-') AS body, coalesce(strlen(said) || ':' || said, '-') AS said_body
+    FROM shown
+), leaves AS (
+    SELECT doc_id, source, sha256(head || body) AS leaf, sha256(head || said_body) AS said_leaf,
+           dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree, count(*) OVER (PARTITION BY source) AS n
+    FROM fields
+), placed AS (
+    SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM leaves
+), own(tree, level, idx, n, hash) AS (
+    SELECT tree, 0, pos, n, leaf FROM placed
+    UNION ALL
+    SELECT tree, max(level) + 1, idx // 16, max((n + 15) // 16), sha256(string_agg(hash, '' ORDER BY idx))
+    FROM own WHERE n > 1 GROUP BY tree, idx // 16
+), top(tree, level, idx, n, hash) AS (
+    SELECT -1::BIGINT, 0, tree, (SELECT count(DISTINCT tree) FROM placed), hash FROM own WHERE n = 1
+    UNION ALL
+    SELECT tree, max(level) + 1, idx // 16, max((n + 15) // 16), sha256(string_agg(hash, '' ORDER BY idx))
+    FROM top WHERE n > 1 GROUP BY tree, idx // 16
+), nodes AS (
+    SELECT * FROM own UNION ALL SELECT * FROM top
+), siblings AS (
+    SELECT a.tree, a.level, a.idx, coalesce(string_agg(b.hash, '' ORDER BY b.idx) FILTER (b.idx < a.idx), '') AS lefts,
+           coalesce(string_agg(b.hash, '' ORDER BY b.idx) FILTER (b.idx > a.idx), '') AS rights
+    FROM nodes a JOIN nodes b ON a.tree = b.tree AND a.level = b.level AND a.idx // 16 = b.idx // 16
+    WHERE a.n > 1 GROUP BY a.tree, a.level, a.idx
+), heights AS (
+    SELECT tree, max(level) AS height FROM nodes GROUP BY tree
+), climb(source_tree, pos, tree, level, idx, proof, folded) AS (
+    SELECT tree, pos, tree, 0, pos, '', said_leaf FROM placed
+    UNION ALL
+    SELECT c.source_tree, c.pos, CASE WHEN c.level = h.height THEN -1 ELSE c.tree END,
+           CASE WHEN c.level = h.height THEN 0 ELSE c.level + 1 END,
+           CASE WHEN c.level = h.height THEN c.tree ELSE c.idx // 16 END,
+           CASE WHEN c.level = h.height THEN c.proof ELSE c.proof || s.lefts || s.rights END,
+           CASE WHEN c.level = h.height THEN c.folded ELSE sha256(s.lefts || c.folded || s.rights) END
+    FROM climb c JOIN heights h USING (tree)
+    LEFT JOIN siblings s ON s.tree = c.tree AND s.level = c.level AND s.idx = c.idx
+    WHERE NOT (c.tree = -1 AND c.level = h.height)
+), ended AS (
+    SELECT c.* FROM climb c JOIN heights h USING (tree) WHERE c.tree = -1 AND c.level = h.height
+)
+SELECT p.doc_id, p.leaf, o.hash AS subroot, r.hash AS root, sha256(e.proof) AS proof_sha256,
+       e.folded AS folded_root, e.folded = r.hash AS verified
+FROM placed p JOIN ended e ON e.source_tree = p.tree AND e.pos = p.pos
+JOIN own o ON o.tree = p.tree AND o.n = 1 CROSS JOIN (SELECT hash FROM top WHERE n = 1) r
+"""
+
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+_OP13 = f"""
+WITH words AS (
+    SELECT doc_id, unnest(regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '{_TERM}')) AS term FROM documents
+), lengths AS (
+    SELECT doc_id, count(*) AS n FROM words GROUP BY doc_id
+), totals AS (
+    SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_terms FROM lengths
+), wanted AS (
+    SELECT item_id, term, count(*) AS times FROM (
+        SELECT item_id, unnest(regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '{_TERM}')) AS term FROM benchmark)
+    GROUP BY item_id, term
+), counts AS (
+    SELECT doc_id, term, count(*) AS tf FROM words WHERE term IN (SELECT term FROM wanted) GROUP BY doc_id, term
+), weights AS (
+    SELECT term, CAST(floor(1000 * ln((2 * any_value(n_docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS weight
+    FROM counts, totals GROUP BY term
+), scores AS (
+    SELECT item_id, doc_id, CAST(sum(times * weight * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * n_docs) // n_terms)))) AS BIGINT) AS score
+    FROM wanted JOIN counts USING (term) JOIN weights USING (term) JOIN lengths USING (doc_id), totals
+    GROUP BY item_id, doc_id
+), ranked AS (
+    SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+    FROM scores WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
+
 def llm_oracles() -> dict[str, str]:
-    return {"op4_chat_formatting": _OP4, "op7_line_dedup": _OP7, "op9_exact_dedup": _OP9}
+    return {"op4_chat_formatting": _OP4, "op7_line_dedup": _OP7, "op9_exact_dedup": _OP9, "op12_merkle_manifest": _OP12,
+            "op13_lexical_search": _OP13}
