@@ -30,15 +30,46 @@ def test_bounds_are_exclusive(spark, source, rows, tmp_path):
     assert rows(got, "id") == [(3,)]
 
 
-def test_a_repeated_attempt_replaces_its_own_rows(spark, source, rows, tmp_path, monkeypatch):
+def test_a_load_that_breaks_off_leaves_nothing_visible(spark, source, rows, tmp_path, monkeypatch):
     from fareflow.sources import periods
 
     target = str(tmp_path / "t")
     load_by_period(source, target, "created_at", "quarter", "2018-01-01", "2018-02-15")
-    monkeypatch.setattr(periods, "high_water_mark", lambda *a: "2018-02-02 00:00:00")
-    for _ in range(2):
-        got = load_by_period(source, target, "created_at", "quarter", "2018-01-01", "2018-06-01")
+    # The second load has written its rows, wrong ones among them, when it ends before its log row.
+    wrong = source.withColumn("id", source["id"] + 100)
+    with monkeypatch.context() as broken:
+        broken.setattr(periods, "LOG_SCHEMA", "no schema at all")
+        broken.setattr(periods, "last_mark", lambda *a: periods.Mark(1, "2018-02-02 00:00:00"))
+        with pytest.raises(Exception):
+            load_by_period(wrong, target, "created_at", "quarter", "2018-01-01", "2018-06-01")
+    assert rows(periods.loaded_rows(source, target), "id") == [(2,), (3,)]
+    got = load_by_period(source, target, "created_at", "quarter", "2018-01-01", "2018-06-01")
     assert rows(got, "id") == [(i,) for i in range(2, 7)]
+    log = rows(periods.read_log(spark, target))
+    assert [(r[0], r[4]) for r in log] == [(1, 2), (2, 3)] and log[1][1] == "2018-02-02 00:00:00"
+
+
+def test_late_rows_and_loads_without_rows(spark, source, rows, tmp_path):
+    from fareflow.sources import periods
+
+    target = str(tmp_path / "t")
+    load_by_period(source, target, "created_at", "month", "2018-01-01", "2018-04-01")
+    late = source.unionByName(spark.createDataFrame([(50, dt.datetime(2018, 2, 20))], source.schema))
+    for stop in ("2018-04-01", "2018-05-01", "2018-05-01"):
+        got = load_by_period(late, target, "created_at", "month", "2018-01-01", stop)
+    assert rows(got, "id") == [(i,) for i in range(2, 6)]
+    assert [(r[0], r[4]) for r in rows(periods.read_log(spark, target))] == [(1, 3), (2, 0), (3, 1), (4, 0)]
+    # The log alone tells where to go on.
+    assert periods.last_mark(spark, target) == (4, "2018-04-02 00:00:00")
+
+
+def test_a_load_reads_no_loaded_rows(spark, source, tmp_path):
+    from fareflow.sources import periods
+
+    target = str(tmp_path / "t")
+    got = load_by_period(source, target, "created_at", "month", "2018-01-01", "2018-04-01")
+    assert "log" in str(periods.read_log(spark, target).inputFiles()[0])
+    assert "PartitionFilters: [isnotnull(load_number" in got._jdf.queryExecution().executedPlan().toString()
 
 
 def test_tables(spark, source, rows, tmp_path):
