@@ -13,7 +13,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, functions as F
 
 from fareflow.functions import dates
-from fareflow.operators.ordering import null_safe, with_adjacent
+from fareflow.operators.ordering import with_adjacent, with_neighbour
 
 Condition = Column | str | None
 
@@ -213,9 +213,8 @@ def mutually_exclusive_ranges(
 ) -> DataFrame:
     """Ranges that are empty, reversed, open (a NULL bound) or collide with the next one.
 
-    ``lower`` and ``upper`` are SQL expressions. Ranges are ordered by (lower, upper) with NULLs last.
-    Among ranges that share a lower bound all but the last have that same bound as their next one, so
-    only distinct lower bounds have to be put in order.
+    ``lower`` and ``upper`` are SQL expressions. Ranges are ordered by (lower, upper) with NULLs last. Ranges that repeat
+    are counted first and follow one another, so only distinct ones have to be put in order.
     """
     words = {"not_allowed": "equal_to", "allowed": "less_than_or_equal_to", "required": "less_than"}
     if gaps not in words:
@@ -230,44 +229,24 @@ def mutually_exclusive_ranges(
         *([F.expr(partition_by).alias("partition_by_col")] if partition_by else []),
         F.expr(lower).alias("lower_bound"), F.expr(upper).alias("upper_bound"),
     ).groupBy(*keys, "lower_bound", "upper_bound").agg(_count().alias("n_rows"))
-    bounded = ranges.where(lo.isNotNull())
-
-    starts = with_adjacent(bounded.drop("n_rows"), "lower_bound", keys, out="_next", step=1)
-    ends = bounded.groupBy(*keys, "lower_bound").agg(
-        F.max("upper_bound").alias("_top"), F.bool_or(up.isNull()).alias("_open"))
-    on = null_safe("a", "b", [*keys, "lower_bound"])
-    starts = starts.alias("a").join(ends.alias("b"), on).select("a.*", "b._top", "b._open").drop(
-        "n_rows")
-
-    unbounded = ranges.where(lo.isNull())
-    if keys:
-        marks = unbounded.select(*keys).distinct().withColumn("_trailing", F.lit(True))
-        starts = starts.alias("a").join(marks.alias("b"), null_safe("a", "b", keys), "left").select(
-            "a.*", F.coalesce("b._trailing", F.lit(False)).alias("_trailing"))
-    else:
-        starts = starts.withColumn(
-            "_trailing", unbounded.agg((F.count(F.lit(1)) > 0).alias("t")).scalar())
-
-    placed = bounded.alias("a").join(starts.alias("b"), on).select(
-        "a.*", "b._next", "b._top", "b._open", "b._trailing")
-    final = F.when(F.col("_open"), up.isNull()).otherwise(up == F.col("_top"))
-    last = F.col("_next").isNull() & ~F.col("_trailing")
-    cases = F.array(
-        F.struct(lo.alias("next_lower_bound"), F.lit(False).alias("is_last_record"),
-                 (F.col("n_rows") - F.when(final, 1).otherwise(0)).alias("n")),
-        F.struct(F.col("_next").alias("next_lower_bound"), last.alias("is_last_record"),
-                 F.when(final, 1).otherwise(0).cast("bigint").alias("n")),
-    )
-    ordered = placed.select(*keys, "lower_bound", "upper_bound", F.inline(cases)).where("n > 0")
+    flagged = ranges.withColumns({"_no_lower": lo.isNull(), "_no_upper": up.isNull()})
+    placed = with_neighbour(flagged, keys, ["_no_lower", "lower_bound", "_no_upper", "upper_bound"], 1, "_next")
+
+    def case(next_bound: Column, is_last: Column, n: Column) -> Column:
+        return F.struct(next_bound.alias("next_lower_bound"), is_last.alias("is_last_record"), n.cast("bigint").alias("n"))
+
+    none, after = F.lit(None), F.col("_next")["lower_bound"]
+    nothing = case(none.cast(ranges.schema["lower_bound"].dataType), none.cast("boolean"), F.col("n_rows"))
+    copies = case(lo, F.lit(False), F.col("n_rows") - 1)
+    last = case(after, F.col("_next").isNull(), F.lit(1))
     # A missing lower bound fails whatever follows; such rows sort last, with no next bound.
-    missing = unbounded.select(
-        *keys, "lower_bound", "upper_bound", F.lit(None).cast(ordered.schema[
-            "next_lower_bound"].dataType).alias("next_lower_bound"),
-        F.lit(None).cast("boolean").alias("is_last_record"), F.col("n_rows").alias("n"))
+    cases = F.when(lo.isNull(), F.array(nothing)).when(
+        after == lo, F.array(case(lo, F.lit(False), F.col("n_rows")))).otherwise(F.array(copies, last))
+    ordered = placed.select(*keys, "lower_bound", "upper_bound", F.inline(cases)).where("n > 0")
 
     compare = {"not_allowed": up == nxt, "allowed": up <= nxt, "required": up < nxt}[gaps]
     in_order = (lo <= up) if zero_length_range_allowed else (lo < up)
-    return ordered.unionByName(missing).withColumns({
+    return ordered.withColumns({
         range_name: F.coalesce(in_order, F.lit(False)),
         next_name: F.coalesce(compare, F.col("is_last_record"), F.lit(False)),
     }).where(~(F.col(range_name) & F.col(next_name))).withColumnRenamed("n", "n_rows")

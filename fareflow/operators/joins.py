@@ -12,6 +12,8 @@ from fareflow.sources.tables import plan_bytes
 # Stored bytes; a hash table in memory takes up to about ten times as much.
 BROADCAST_BYTES = 16 * 1024 * 1024
 HOT_ROWS = 2_000_000
+# Parts that facts without a key are spread over.
+LOOSE_SALTS = 4096
 
 
 def lookup(
@@ -23,26 +25,37 @@ def lookup(
     match_nulls: bool = False,
     broadcast_bytes: int = BROADCAST_BYTES,
     hot_rows: int = HOT_ROWS,
+    sizes: DataFrame | None = None,
 ) -> DataFrame:
     """Left join ``facts`` to ``table`` (unique on ``keys``), adding the ``take`` columns.
 
     ``table`` should be a written table. Its size is checked first: up to ``broadcast_bytes`` it is
-    broadcast and the facts do not move. A larger table is split on ``rows_column``, the number
-    of fact rows behind a key. Keys with more than ``hot_rows`` of them number at most
-    (facts / hot_rows), so they are broadcast and their facts stay where they are; all other
-    keys meet in a shuffle whose partitions are then of even size.
+    broadcast and the facts do not move. A larger table meets the facts in one shuffle. ``rows_column`` has the
+    number of fact rows behind a key; ``sizes`` (keys and that column) has it for keys the table lacks,
+    too. Keys with more than ``hot_rows`` number at most (facts / hot_rows), so they are broadcast: their
+    facts are tagged with one of several salts, and their table row is repeated once a salt. Facts without a key
+    have no partner and are spread over salts of their own.
     """
     keys = list(keys)
     table = table.select(*keys, *dict.fromkeys([*take, rows_column]))
     if plan_bytes(table) <= broadcast_bytes:
         return _left(facts, F.broadcast(table), keys, take, match_nulls)
-    hot = F.broadcast(table.where(F.col(rows_column) > hot_rows))
-    rest = table.where(F.coalesce(F.col(rows_column) <= hot_rows, F.lit(True)))
-    match = _match("f", "t", keys, match_nulls)
-    in_hot = facts.alias("f").join(hot.alias("t"), match).selectExpr(
-        "f.*", *[f"t.`{c}`" for c in take])
-    others = facts.alias("f").join(hot.alias("t"), match, "left_anti")
-    return in_hot.unionByName(_left(others, rest, keys, take, match_nulls))
+    counted = table if sizes is None else sizes
+    hot = F.broadcast(counted.where(F.col(rows_column) > hot_rows).select(
+        *keys, F.ceil(F.col(rows_column) / max(1, hot_rows)).cast("int").alias("_salts")))
+    match = _match("f", "h", keys, match_nulls)
+    lacking = F.lit(False)
+    for key in [] if match_nulls else keys:
+        lacking = lacking | F.col(key).isNull()
+    salts = F.coalesce(F.col("_salts"), F.when(lacking, F.lit(LOOSE_SALTS)), F.lit(1))
+    tagged = facts.alias("f").join(hot.alias("h"), match, "left").select("f.*", "h._salts").withColumn(
+        "_salt", F.pmod(F.monotonically_increasing_id(), salts).cast("int")).drop("_salts")
+    repeated = table.alias("f").join(hot.alias("h"), match, "left").select(
+        *[f"f.`{c}`" for c in dict.fromkeys([*keys, *take])],
+        F.explode(F.sequence(F.lit(0), F.coalesce("h._salts", F.lit(1)) - 1)).alias("_salt"))
+    on = _match("f", "t", keys, match_nulls) & F.expr("f._salt = t._salt")
+    return tagged.alias("f").join(repeated.alias("t"), on, "left").select(
+        *[f"f.`{c}`" for c in facts.columns], *[f"t.`{c}`" for c in take])
 
 
 def _match(left, right, keys, match_nulls):

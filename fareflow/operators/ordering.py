@@ -1,17 +1,20 @@
 """Order-dependent work without putting one ordered group into one task.
 
-A plain ``lag``/``lead`` or running count sorts a whole key in one task. Here the value range of a
-key is cut into bins that keep the order, and each bin's own range is cut once more, so that values
-crowded into a small part of the range are spread too. Bins are sorted in parallel, and only one
-summary row per bin is brought together. Bins follow from the values alone, so a recomputed
-task always sees the same ones.
+A plain ``lag``/``lead`` sorts a whole key in one task. Here rows are range-partitioned by key and value, so
+that a key of any size is cut by its values, and stored with the number of their range. Inside a range the
+neighbour is that of a window; at a border it is the edge row of the next range that has rows. There is one
+edge row a range, so the edges are put in order in one task and sent to all.
+
+``order_bin`` and ``even_bin`` cut a value range into bins that keep the order, by the values alone.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
+
+from fareflow.sources.tables import RunFolder
 
 LINEAR_BINS = 4096        # equal-width slices between a key's smallest and largest value
 LOG_BINS = 4096           # slices per factor e, for ranges stretched by a few extreme values
@@ -42,59 +45,39 @@ def null_safe(left: str, right: str, keys: Sequence[str]) -> Column:
     return F.expr(" AND ".join(f"{left}.`{k}` <=> {right}.`{k}`" for k in keys) or "true")
 
 
+def with_neighbour(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], step: int, out: str
+) -> DataFrame:
+    """``df`` with the neighbour of every row among the rows of its key.
+
+    ``out`` is a struct of the ``order`` columns of the row before (``step=-1``) or after (``+1``), NULL where there
+    is none. Keys and order columns ascend with NULLs first. Rows should be distinct by both.
+    """
+    keys, order = list(keys), list(order)
+    near, edge = (F.lag, F.max) if step < 0 else (F.lead, F.min)
+    ranged = RunFolder(df.sparkSession).write(
+        "ranges", df.repartitionByRange(*keys, *order).withColumn("_range", F.spark_partition_id()))
+    # One row a range, however many keys it holds: a key that goes on beyond a border is at the edge.
+    edges = ranged.groupBy("_range").agg(edge(F.struct(*keys, *order)).alias("_edge")).select(
+        "_range", near("_edge").over(Window.orderBy("_range")).alias("_edge"))
+    inside = Window.partitionBy("_range", *keys).orderBy(*order)
+    placed = ranged.withColumn("_near", near(F.struct(*order)).over(inside)).join(
+        F.broadcast(edges), "_range", "left")
+    same_key = F.col("_edge").isNotNull()
+    for key in keys:
+        same_key = same_key & F.col(key).eqNullSafe(F.col("_edge")[key])
+    carried = F.when(same_key, F.struct(*[F.col("_edge")[c].alias(c) for c in order]))
+    return placed.withColumn(out, F.coalesce("_near", carried)).select(*df.columns, out)
+
+
 def with_adjacent(
     df: DataFrame, value: str, keys: Sequence[str] = (), out: str = "adjacent", step: int = -1
 ) -> DataFrame:
     """Distinct ``(keys, value)`` with the adjacent smaller (``step=-1``) or larger (``+1``) value.
 
-    Adds ``n_rows``, the number of input rows with that value. NULL values are left out.
+    Adds ``n_rows``, the number of input rows with that value; rows are counted before they move. NULL values are
+    left out.
     """
-    keys = list(keys)
-    number = _as_double(df, value)
-    counts = (
-        df.where(F.col(value).isNotNull())
-        .groupBy(*keys, F.col(value))
-        .agg(F.count(F.lit(1)).alias("n_rows"))
-        .withColumn("_v", number)
-    )
-    spans = counts.groupBy(*keys).agg(F.min("_v").alias("_low"), F.max("_v").alias("_high"))
-    if keys:
-        bound = counts.alias("c").join(spans.alias("s"), null_safe("c", "s", keys)).selectExpr(
-            "c.*", "s._low", "s._high")
-    else:
-        bound = counts.withColumns({
-            "_low": spans.select("_low").scalar(), "_high": spans.select("_high").scalar()})
-    binned = bound.withColumn("_bin", F.expr(order_bin("_v", "_low", "_high"))).drop("_low", "_high")
-
-    facing, order = ("max", "ASC") if step < 0 else ("min", "DESC")
-    before = f"lag(`{value}`) OVER (PARTITION BY {{}} ORDER BY `{value}` {order})"
-    carry = f"lag(_edge) OVER (PARTITION BY {{}} ORDER BY {{}} {order})"
-    edge = F.expr(f"{facing}(`{value}`) AS _edge")
-    coarse, fine = [*keys, "_bin"], [*keys, "_bin", "_part"]
-
-    # One row per bin: bounded by the value range, however many rows the key has.
-    bins = binned.groupBy(*coarse).agg(
-        edge, F.min("_v").alias("_low"), F.max("_v").alias("_high"),
-    ).selectExpr(*coarse, "_low", "_high",
-                 carry.format(", ".join(keys) or "0", "_bin") + " AS _from_bin")
-    parted = binned.alias("a").join(bins.alias("b"), null_safe("a", "b", coarse)).selectExpr(
-        "a.*", "b._from_bin", f"{even_bin('a._v', 'b._low', 'b._high')} AS _part")
-    parts = parted.groupBy(*fine).agg(edge).selectExpr(
-        *fine, carry.format(", ".join(coarse), "_part") + " AS _from_part")
-    inside = parted.selectExpr("*", before.format(", ".join(fine)) + " AS _near")
-    return inside.alias("a").join(parts.alias("b"), null_safe("a", "b", fine)).selectExpr(
-        *[f"a.`{k}`" for k in [*keys, value, "n_rows"]],
-        f"coalesce(a._near, b._from_part, a._from_bin) AS `{out}`")
-
-
-def _as_double(df: DataFrame, value: str) -> Column:
-    """A number that orders like the column, for numbers, dates and timestamps."""
-    kind = dict(df.dtypes)[value]
-    if kind == "date":
-        return F.unix_date(value).cast("double")
-    if kind == "timestamp_ntz":       # whole seconds, without going through a time zone
-        days = F.unix_date(F.col(value).cast("date")).cast("double")
-        return days * 86400 + F.hour(value) * 3600 + F.minute(value) * 60 + F.floor(F.second(value))
-    if kind == "timestamp":
-        return F.unix_micros(value).cast("double")
-    return F.col(value).cast("double")
+    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("n_rows"))
+    return with_neighbour(counts, keys, [value], step, "_found").select(
+        *keys, value, "n_rows", F.col("_found")[value].alias(out))

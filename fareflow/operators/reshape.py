@@ -81,6 +81,13 @@ def column_values(
     return [r["value"] for r in top]
 
 
+def table_column_values(spark: SparkSession, table: str, column: str, default: Sequence = (), **options) -> list:
+    """:func:`column_values` of a named table, or ``default`` where there is no such table."""
+    if not spark.catalog.tableExists(table):
+        return list(default)
+    return column_values(spark.table(table), column, **options)
+
+
 def unpivot(
     df: DataFrame, cast_to: str = "string", keep: Sequence[str] = (), remove: Sequence[str] = (),
     field_name: str = "field_name", value_name: str = "value",

@@ -6,12 +6,18 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from fareflow.operators.joins import attach
+from fareflow.operators.joins import BROADCAST_BYTES, attach
+from fareflow.operators.ordering import null_safe
+from fareflow.sources.tables import RunFolder, plan_bytes
 
 # Spark trims each task's rows to the limit before the shuffle up to this many per group
 # (spark.sql.optimizer.windowGroupLimitThreshold); larger samples are trimmed by salt.
 TRIMMED_BY_SPARK = 1000
 SALTS = 256
+# Digits of a hash that are compared with a stratum's limit.
+HASH_DIGITS = 12
+# Rows looked at above the number taken: in standard deviations of their number, and some more.
+SPARE_DEVIATIONS, SPARE_ROWS = 6, 12
 
 
 def sample_order(identity: Column, seed: str) -> Column:
@@ -32,24 +38,47 @@ def first_per_group(
     return df.withColumn(rank, F.row_number().over(whole)).where(F.col(rank) <= limit)
 
 
+def _hash_share(order: Column) -> Column:
+    """Where a hash lies among all, from 0 to 1, by its first digits."""
+    digits = F.conv(F.substring(order, 1, HASH_DIGITS), 16, 10)
+    return digits.cast("double") / float(16 ** HASH_DIGITS)
+
+
 def stratified_sample(
     df: DataFrame, strata: Sequence[str], identity: str, rate: float, at_least: int, at_most: int,
-    seed: str, weight: str = "sample_weight",
+    seed: str, weight: str = "sample_weight", broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """``rate`` of each stratum, between ``at_least`` and ``at_most`` rows, with expansion weights.
 
     A stratum smaller than ``at_least`` is taken whole with weight 1, so the weights of a stratum
     always add up to its size. NULL in a stratum key is a value like any other.
+
+    Strata are counted first. Where their table is small enough to be sent to all tasks, a row goes on only if its
+    hash is as low as those of the wanted rows and some to spare, so few rows are ranked. A stratum that falls
+    short of its rows by chance is ranked whole, as all are where the table is larger.
     """
-    size = df.groupBy(*strata).agg(F.count(F.lit(1)).alias("_size"))
+    run = RunFolder(df.sparkSession)
     wanted = F.greatest(F.lit(at_least), F.least(F.round(F.col("_size") * rate), F.lit(at_most)))
-    size = size.withColumn("_take", F.least(F.col("_size"), wanted).cast("bigint"))
-    order = [F.col("_order"), F.col(identity)]
-    candidates = first_per_group(
-        df.withColumn("_order", sample_order(F.col(identity), seed)), strata, order,
-        max(at_least, at_most), "_rank")
+    sizes = run.write("strata", df.groupBy(*strata).agg(F.count(F.lit(1)).alias("_size")).withColumn(
+        "_take", F.least(F.col("_size"), wanted).cast("bigint")))
+    rows = df.withColumn("_order", sample_order(F.col(identity), seed))
+    most = max(at_least, at_most)
+    if plan_bytes(sizes) <= broadcast_bytes:
+        spare = SPARE_DEVIATIONS * F.sqrt(F.col("_take").cast("double")) + SPARE_ROWS
+        limits = sizes.select(*strata, ((F.col("_take") + spare) / F.col("_size")).alias("_limit"))
+        low = run.write("low", attach(rows, F.broadcast(limits), strata, match_nulls=True, how="inner").where(
+            _hash_share(F.col("_order")) <= F.col("_limit")).drop("_limit"))
+        found = low.groupBy(*strata).agg(F.count(F.lit(1)).alias("_found"))
+        short = run.write("short", attach(sizes, found, strata, match_nulls=True).where(
+            F.coalesce("_found", F.lit(0)) < F.col("_take")).select(*strata))
+        if short.isEmpty():
+            rows = low
+        else:
+            same, few = null_safe("r", "s", strata), F.broadcast(short).alias("s")
+            rows = low.alias("r").join(few, same, "left_anti").unionByName(rows.alias("r").join(few, same, "left_semi"))
+    candidates = first_per_group(rows, strata, [F.col("_order"), F.col(identity)], most, "_rank")
     return (
-        attach(candidates, size, strata, match_nulls=True, how="inner")
+        attach(candidates, sizes, strata, match_nulls=True, how="inner")
         .where(F.col("_rank") <= F.col("_take"))
         .withColumn(weight, F.col("_size").cast("double") / F.col("_take"))
         .drop("_order", "_rank", "_size", "_take")

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from fareflow.operators.joins import BROADCAST_BYTES, HOT_ROWS
+
 # Percentiles every price benchmark carries, by output column.
 STANDARD_PERCENTILES = {
     "p50_usd_per_mi": 0.50,
@@ -28,6 +30,8 @@ class FareParams:
     sample_min: int = 5               # bookings per stratum, at least
     sample_max: int = 100             # bookings per stratum, at most
     sample_seed: str = "fareflow"
+    broadcast_bytes: int = BROADCAST_BYTES   # a per-route table up to this stored size is sent to all tasks
+    hot_rows: int = HOT_ROWS          # a key with more bookings is spread where such a table is joined
 
     @property
     def benchmark_percentiles(self) -> dict[str, float]:

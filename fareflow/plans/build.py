@@ -7,13 +7,14 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, functions as F
 
 from fareflow.operators import checks
+from fareflow.operators.distinct import dense_codes
 from fareflow.params import FareParams
 from fareflow.plans import features as hub
 from fareflow.plans import intermediate, staging
 from fareflow.functions import bands
 from fareflow.plans.marts import alerts, carriers, routes, sample, windows
 from fareflow.sources import seeds
-from fareflow.sources.tables import RunFolder
+from fareflow.sources.tables import RunFolder, plan_bytes
 
 
 # The order tables are read in; their content does not depend on it.
@@ -67,8 +68,10 @@ class FareTables:
         return intermediate.int_route_daily_prices(self.staged, self.carriers)
 
     def features_plan(self) -> DataFrame:
+        split = plan_bytes(self.benchmarks) > self.params.broadcast_bytes
         return hub.pricing_features(
-            self.staged, self.benchmarks, self.competition, params=self.params)
+            self.staged, self.benchmarks, self.competition, params=self.params,
+            sizes=self.route_sizes if split else None)
 
     @cached_property
     def staged(self) -> DataFrame:
@@ -78,6 +81,12 @@ class FareTables:
     def benchmarks(self) -> DataFrame:
         return self.folder.write("route_benchmarks", self.benchmarks_plan())
 
+    @cached_property
+    def route_sizes(self) -> DataFrame:
+        """Bookings per route and fare bucket, priced or not."""
+        return self.folder.write("route_sizes", self.staged.groupBy("route", "fare_bucket").agg(
+            F.count(F.lit(1)).alias("n_bookings")))
+
     @cached_property
     def competition(self) -> DataFrame:
         return self.folder.write("route_competition", self.competition_plan())
@@ -90,6 +99,11 @@ class FareTables:
     def features(self) -> DataFrame:
         return self.folder.write("pricing_features", self.features_plan())
 
+    @cached_property
+    def codes(self) -> dict[str, DataFrame]:
+        """Numbers of the values that several marts count."""
+        return {c: dense_codes(self.features, c, self.folder) for c in ("carrier_code", "route", "flight_date")}
+
     # Tables under their published names.
 
     def stg_fare_searches(self) -> DataFrame:
@@ -136,13 +150,13 @@ class FareTables:
             self.staged, self.features, self.flagged_extra_costs())
 
     def booking_window_analysis(self) -> DataFrame:
-        return windows.booking_window_analysis(self.features)
+        return windows.booking_window_analysis(self.features, self.codes)
 
     def timeseries_metrics(self) -> DataFrame:
         return windows.timeseries_metrics(self.features, self.daily)
 
     def crosstab_summary(self) -> DataFrame:
-        return windows.crosstab_summary(self.features)
+        return windows.crosstab_summary(self.features, self.codes)
 
     def route_map_data(self) -> DataFrame:
         return routes.route_map_data(self.features, self.competition, self.airports)
@@ -161,7 +175,7 @@ class FareTables:
             self.features, self.daily, self.carriers, self.params, pairwise)
 
     def carrier_summary(self) -> DataFrame:
-        return carriers.carrier_summary(self.features, self.carriers)
+        return carriers.carrier_summary(self.features, self.carriers, self.codes)
 
     def booking_sample(self) -> DataFrame:
         return sample.booking_sample(self.features, self.params)

@@ -17,10 +17,12 @@ FLAGS = ["r1_price_outlier", "r2_seat_scarcity", "r3_monopoly_premium", "any_rul
 
 def pricing_features(
     staged: DataFrame, benchmarks: DataFrame, competition: DataFrame,
-    airports: DataFrame | None = None, params: FareParams = FareParams(),
+    airports: DataFrame | None = None, params: FareParams = FareParams(), sizes: DataFrame | None = None,
 ) -> DataFrame:
     """One row per booking. With per-route tables small enough to broadcast, no booking is shuffled.
 
+    ``sizes`` (route, fare_bucket, n_bookings) tells larger tables which keys to spread, also those they lack.
+
     ``airports`` is a longer coordinate list than staging had: it gives a distance to bookings still
     without one. Staging's own list would find nothing more, so it need not be joined again.
     """
@@ -43,11 +45,13 @@ def pricing_features(
         ).drop("origin_lat", "origin_lon", "destination_lat", "destination_lon")
     priced = placed.withColumn(
         "usd_per_mi", numbers.ratio(F.col("total_fare"), F.col("trip_dist")))
+    limits = {"broadcast_bytes": params.broadcast_bytes, "hot_rows": params.hot_rows}
     found = lookup(
         priced, benchmarks, ["route", "fare_bucket"], [*PERCENTILE_COLUMNS, "r2_usd_per_mi"],
-        "legs_sampled")
+        "legs_sampled", **limits, sizes=None if sizes is None else sizes.withColumnRenamed("n_bookings", "legs_sampled"))
+    by_route = None if sizes is None else sizes.groupBy("route").agg(F.sum("n_bookings").alias("route_bookings"))
     compared = lookup(
-        found, competition, ["route"], ["carrier_count", "hhi"], "route_bookings"
+        found, competition, ["route"], ["carrier_count", "hhi"], "route_bookings", **limits, sizes=by_route,
     ).withColumn("hhi", numbers.clamp(F.col("hhi"), 0.0, 1.0))
     return compared.withColumns({
         "r1_price_outlier": price_outlier(params),

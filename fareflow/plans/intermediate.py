@@ -140,13 +140,14 @@ def int_rules(
     facts = staged.select(
         "legid", "route", "flight_date", "search_date", "days_to_flight", "fare_bucket",
         "usd_per_mi", "seats_flag")
+    limits = {"broadcast_bytes": params.broadcast_bytes, "hot_rows": params.hot_rows}
     found = lookup(
         facts, benchmarks, ["route", "fare_bucket"], [*PERCENTILE_COLUMNS, "r2_usd_per_mi"],
-        "legs_sampled", match_nulls=True)
+        "legs_sampled", match_nulls=True, **limits)
     keyed = F.col("route").isNotNull() & F.col("fare_bucket").isNotNull()
     found = found.withColumns({c: F.when(keyed, F.col(c)) for c in PERCENTILE_COLUMNS})
     ruled = lookup(
-        found, competition, ["route"], ["carrier_count", "hhi"], "route_bookings"
+        found, competition, ["route"], ["carrier_count", "hhi"], "route_bookings", **limits
     ).withColumns({
         "r1_price_outlier_flag": price_outlier(params),
         "r2_seat_scarcity_flag": seat_scarcity(),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, Window, functions as F
 
 from fareflow.functions import bands, numbers
@@ -10,7 +12,7 @@ from fareflow.params import FareParams
 from fareflow.plans.intermediate import dim_carrier
 from fareflow.plans.marts.cells import carrier_route_cells, pairwise_medians, roll_up
 from fareflow.plans.summaries import (
-    fare_medians, summarise_bookings, with_rates,
+    fare_medians, summarise_bookings, with_distinct_counts, with_rates,
 )
 
 CARRIER = ["carrier_code"]
@@ -73,7 +75,9 @@ def _route_window_costs(features: DataFrame) -> DataFrame:
     )
 
 
-def carrier_summary(features: DataFrame, carriers: DataFrame) -> DataFrame:
+def carrier_summary(
+    features: DataFrame, carriers: DataFrame, codes: Mapping[str, DataFrame] | None = None
+) -> DataFrame:
     """Every carrier, listed or not, with rates, shares, ranks and categories."""
     bucket_counts = []
     for short, bucket in zip(("prem", "full", "disc"), bands.FARE_BUCKETS):
@@ -84,12 +88,12 @@ def carrier_summary(features: DataFrame, carriers: DataFrame) -> DataFrame:
         ]
     totals = summarise_bookings(
         features, CARRIER,
-        F.countDistinct("route").alias("routes_served"),
-        F.countDistinct("flight_date").alias("unique_flight_dates"),
         F.avg("hhi").alias("avg_route_concentration"),
         F.count(F.when(F.col("hhi") >= 0.8, 1)).alias("monopoly_route_bookings"),
         *bucket_counts,
     )
+    totals = with_distinct_counts(
+        totals, features, CARRIER, codes, routes_served="route", unique_flight_dates="flight_date")
     medians = fare_medians(features, CARRIER, median_fare=F.col("total_fare"))
     named = attach(totals, medians, CARRIER, match_nulls=True).join(
         F.broadcast(dim_carrier(carriers)), "carrier_code", "left")

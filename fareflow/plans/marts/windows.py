@@ -2,24 +2,24 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, functions as F
 
 from fareflow.functions import bands, numbers
 from fareflow.operators.joins import attach
 from fareflow.plans.summaries import (
-    daily_cells, fare_medians, flagged, summarise_bookings, with_rates,
+    daily_cells, fare_medians, flagged, summarise_bookings, with_distinct_counts, with_rates,
 )
 
 CELL = ["dtf_bucket", "fare_bucket"]
 
 
-def booking_window_analysis(features: DataFrame) -> DataFrame:
+def booking_window_analysis(features: DataFrame, codes: Mapping[str, DataFrame] | None = None) -> DataFrame:
     """Volumes, rates and fares per booking window and fare bucket (a NULL bucket is kept)."""
-    cells = summarise_bookings(
-        features, CELL,
-        F.countDistinct("carrier_code").alias("unique_carriers"),
-        F.countDistinct("route").alias("unique_routes"),
-    )
+    cells = with_distinct_counts(
+        summarise_bookings(features, CELL), features, CELL, codes,
+        unique_carriers="carrier_code", unique_routes="route")
     medians = fare_medians(
         features, CELL, median_fare=F.col("total_fare"), median_flagged_fare=flagged("total_fare"))
     full = with_rates(
@@ -48,15 +48,12 @@ def timeseries_metrics(features: DataFrame, daily: DataFrame) -> DataFrame:
     )
 
 
-def crosstab_summary(features: DataFrame) -> DataFrame:
+def crosstab_summary(features: DataFrame, codes: Mapping[str, DataFrame] | None = None) -> DataFrame:
     """Booking window by fare bucket, with a row for every combination, empty ones included."""
     known = features.where(F.col("dtf_bucket").isNotNull() & F.col("fare_bucket").isNotNull())
-    cells = summarise_bookings(
-        known, CELL,
-        F.countDistinct("carrier_code").alias("unique_carriers"),
-        F.countDistinct("route").alias("unique_routes"),
-        F.countDistinct("flight_date").alias("unique_flight_dates"),
-    )
+    cells = with_distinct_counts(
+        summarise_bookings(known, CELL), known, CELL, codes,
+        unique_carriers="carrier_code", unique_routes="route", unique_flight_dates="flight_date")
     shares = (
         known.groupBy(*CELL, "carrier_code").agg(F.count(F.lit(1)).alias("n"))
         .groupBy(*CELL).agg(

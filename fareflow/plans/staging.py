@@ -58,7 +58,7 @@ def stg_fare_searches(
         text.first_segment(F.col("segmentsdepartureairportcode")).alias("origin"),
         text.last_segment(F.col("segmentsarrivalairportcode")).alias("destination"),
         text.first_segment(F.col("segmentsairlinecode")).alias("marketing_carrier"),
-        numbers.whole(F.col("totalfare"), params.fare_scale).alias("total_fare"),
+        numbers.whole(F.col("totalfare"), params.fare_scale).alias("total_fare", metadata={"decimals": params.fare_scale}),
         numbers.whole(F.col("basefare"), params.fare_scale).alias("base_fare"),
         numbers.whole(F.col("totaltraveldistance"), params.fare_scale).alias("_raw_miles"),
         F.col("isnonstop").alias("is_nonstop"),

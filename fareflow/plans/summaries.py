@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from fareflow.functions import numbers
+from fareflow.operators.distinct import dense_codes, distinct_counts
 from fareflow.operators.joins import attach
 from fareflow.operators.quantiles import exact_percentiles
 from fareflow.plans.intermediate import DAILY_KEYS
@@ -43,16 +44,35 @@ def summarise_bookings(features: DataFrame, keys: Sequence[str], *more: Column)
     return features.groupBy(*keys).agg(*map(F.expr, BOOKING_MEASURES), *more)
 
 
+def with_distinct_counts(
+    cells: DataFrame, features: DataFrame, keys: Sequence[str], codes: Mapping[str, DataFrame] | None,
+    **counted: str,
+) -> DataFrame:
+    """``cells`` (unique on ``keys``) with distinct counts of columns of their bookings, 0 where there is no value.
+
+    ``codes`` has the stored numbers of the columns' values; those it lacks are made here.
+    """
+    codes = dict(codes or {})
+    for column in counted.values():
+        if column not in codes:
+            codes[column] = dense_codes(features, column)
+    found = distinct_counts(features, keys, counted, codes)
+    return attach(cells, found, keys, match_nulls=True).withColumns({
+        name: F.coalesce(F.col(name), F.lit(0)) for name in counted})
+
+
 def fare_medians(
     features: DataFrame, keys: Sequence[str], weight: Column | None = None, **measures: Column
 ) -> DataFrame:
     """Exact medians of fare columns per key.
 
-    Fares are whole currency units, so the distinct values of any key are bounded by the
-    dearest fare and the search for wide groups is left out.
+    Where staging has left no decimals, the distinct values of any key are bounded by the dearest fare, and no group
+    has to be bounded first.
     """
+    whole = features.schema["total_fare"].metadata.get("decimals") == 0
     return exact_percentiles(
-        features, keys, {name: (c, 0.5) for name, c in measures.items()}, weight, wide_group=None)
+        features, keys, {name: (c, 0.5) for name, c in measures.items()}, weight,
+        **({"wide_group": None} if whole else {}))
 
 
 def with_rates(df: DataFrame, names: dict[str, str], digits: int | None = 2) -> DataFrame:

@@ -24,6 +24,30 @@ def test_lookup_gives_the_same_rows_however_it_runs(spark, rows, tmp_path, match
                          for r in sorted(facts.collect(), key=lambda r: r["id"])]
 
 
+def test_hot_absent_and_null_keys_are_spread(spark, tmp_path):
+    """A third of the facts has a hot key, a third a hot key that the table lacks, and a sixth none at all."""
+    facts = spark.range(60_000).repartition(6).selectExpr(
+        "id", "CASE WHEN id % 6 < 2 THEN 'hot' WHEN id % 6 < 4 THEN 'absent' WHEN id % 6 = 4 THEN concat('k', id % 997) END AS k")
+    sizes = facts.groupBy("k").agg(F.count("*").alias("n"))
+    sizes.where("k <> 'absent'").withColumn("top", F.length("k")).write.parquet(str(tmp_path / "t"))
+    table = spark.read.parquet(str(tmp_path / "t"))
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        got = lookup(facts, table, ["k"], ["top"], "n", broadcast_bytes=0, hot_rows=300, sizes=sizes)
+        tasks = sorted(r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect())
+        assert len(tasks) == 4 and tasks[-1] < 2 * tasks[2]
+        # Chained: what comes out of one look-up goes into the next; facts are read once.
+        chained = lookup(got, table.withColumnRenamed("top", "again"), ["k"], ["again"], "n", broadcast_bytes=0, hot_rows=300, sizes=sizes)
+        assert chained.where("top IS DISTINCT FROM again").count() == 0
+        assert chained.count() == 60_000 and chained.where("top = 3").count() > 20_000 - 1
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
 @pytest.fixture(scope="module")
 def bookings(spark):
     rng = random.Random(6)
@@ -64,3 +88,20 @@ def test_large_samples_are_trimmed_by_salt(bookings, rows):
     import hashlib
     ids = sorted((f"hot-{i}" for i in range(6000)), key=lambda v: hashlib.md5(v.encode()).hexdigest())
     assert [legid for _, legid in sorted(by_group["hot"])] == ids[:1500]
+
+
+@pytest.mark.parametrize("spare", [None, (-1, 0)])
+def test_few_rows_are_ranked_and_the_sample_stays_the_same(bookings, rows, monkeypatch, spare):
+    """By hash limits, by the plain ranking of all rows, and where limits leave strata short of rows."""
+    from fareflow.operators import sampling
+
+    df, sizes = bookings
+    plain = rows(_sample(df, broadcast_bytes=-1))
+    if spare:
+        monkeypatch.setattr(sampling, "SPARE_DEVIATIONS", spare[0])
+        monkeypatch.setattr(sampling, "SPARE_ROWS", spare[1])
+    ranked = []
+    first = sampling.first_per_group
+    monkeypatch.setattr(sampling, "first_per_group", lambda df, *a: ranked.append(df.count()) or first(df, *a))
+    assert rows(_sample(df)) == plain
+    assert spare or ranked[0] < sum(sizes.values()) / 10

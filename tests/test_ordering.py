@@ -47,3 +47,26 @@ def test_dates_and_doubles(spark):
         (days[1], None), (days[0], days[1]), (days[2], days[0])}
     assert {tuple(r) for r in with_adjacent(df, "x").select("x", "adjacent").collect()} == {
         (3.0, None), (5.0, 3.0), (9.0, 5.0)}
+
+
+def test_keys_and_ranges_of_any_size(spark):
+    """A hot key over several ranges, keys that begin and end inside one, NULL keys, and rows in several columns."""
+    from fareflow.operators.ordering import with_neighbour
+
+    rng = random.Random(8)
+    rows = sorted({("hot", rng.randrange(10**9), rng.randrange(3)) for _ in range(3000)}
+                  | {(f"k{i % 200}", i, 0) for i in range(700)} | {(None, i, 1) for i in range(30)}, key=lambda r: (r[0] is not None, r))
+    df = spark.createDataFrame(rows, "k string, a long, b int").repartition(7)
+    for step in (-1, 1):
+        found = {tuple(r)[:3]: r["near"] and tuple(r["near"]) for r in with_neighbour(df, ["k"], ["a", "b"], step, "near").collect()}
+        line = rows if step > 0 else rows[::-1]
+        expected = {r: (n[1:] if n and n[0] == r[0] else None) for r, n in zip(line, [*line[1:], None])}
+        assert found == expected
+
+
+def test_a_shuffled_row_moves_few_times(spark):
+    """Rows are counted on the map side, then put in ranges, then ranked inside ranges: three exchanges, one scan."""
+    df = spark.range(1000).selectExpr("id % 100 AS v")
+    text = with_adjacent(df, "v")._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange hashpartitioning") <= 2 and "SortMergeJoin" not in text
+    assert text.count("Exchange SinglePartition") == 1  # the edges, one row a range
