@@ -91,10 +91,27 @@ def column_values_by_frequency(spark, folder):
         read(spark, folder, "events"), "event_type", where="value >= 10")
 
 
+@registered
+def column_values_of_tables(spark, folder):
+    """The values of a named table, and the default for a table that is not there, beside each status's orders."""
+    orders = read(spark, folder, "orders")
+    orders.createOrReplaceTempView("fareflow_orders")
+    here = reshape.table_column_values(spark, "fareflow_orders", "o_orderstatus", default=["none"])
+    absent = reshape.table_column_values(spark, "fareflow_absent_orders", "o_orderstatus", default=["F", "none"])
+    spark.catalog.dropTempView("fareflow_orders")
+    return orders.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n_orders")).select(
+        "o_orderstatus", "n_orders", F.col("o_orderstatus").isin(here).alias("listed"),
+        F.col("o_orderstatus").isin(absent).alias("in_default"))
+
+
 @registered
 def date_spine_daily_orders(spark, folder):
-    spine = reshape.date_spine(spark, "day", "1995-01-01", "2002-01-01")
-    per_day = read(spark, folder, "orders").groupBy(
+    """From the first to the last day of the table."""
+    orders = read(spark, folder, "orders")
+    day = F.col("o_orderdate").cast("date")
+    first, end = orders.agg(F.min(day).cast("string"), F.date_add(F.max(day), 1).cast("string")).first()
+    spine = reshape.date_spine(spark, "day", first, end)
+    per_day = orders.groupBy(
         F.col("o_orderdate").cast("date").alias("date_day")).agg(
         F.count(F.lit(1)).alias("n"), F.sum("o_totalprice").alias("total"))
     return spine.join(per_day, "date_day", "left").select(
@@ -104,8 +121,10 @@ def date_spine_daily_orders(spark, folder):
 
 @registered
 def series_line_numbers(spark, folder):
-    series = reshape.generate_series(spark, 10)
-    lines = read(spark, folder, "lineitem").groupBy(
+    """From 1 to three above the largest number of the table."""
+    lineitem = read(spark, folder, "lineitem")
+    series = reshape.generate_series(spark, lineitem.agg(F.max("l_linenumber")).first()[0] + 3)
+    lines = lineitem.groupBy(
         F.col("l_linenumber").cast("bigint").alias("generated_number")).agg(
         F.count(F.lit(1)).alias("n_lines"))
     return series.join(lines, "generated_number", "left")
@@ -127,9 +146,11 @@ def nullcheck_customer(spark, folder):
 
 @registered
 def except_intersect_nations(spark, folder):
-    buyers = read(spark, folder, "customer").select(F.col("c_nationkey").alias("nation"))
-    sellers = read(spark, folder, "supplier").where("s_acctbal > 0").select(
-        F.col("s_nationkey").alias("nation"))
+    """Nations with thousands of account balance, of all customers and all suppliers."""
+    buyers = read(spark, folder, "customer").select(
+        F.col("c_nationkey").alias("nation"), F.floor(F.col("c_acctbal") / 1000).alias("thousands"))
+    sellers = read(spark, folder, "supplier").select(
+        F.col("s_nationkey").alias("nation"), F.floor(F.col("s_acctbal") / 1000).alias("thousands"))
     return reshape.without_rows(buyers, sellers).withColumn("part", F.lit("buyers only")).union(
         reshape.common_rows(buyers, sellers).withColumn("part", F.lit("both")))
 
@@ -296,10 +317,11 @@ def haversine_routes(spark, folder):
 
 @registered
 def period_load_events(spark, folder):
-    """Two loads into a new table, the second going on from where the first stopped."""
+    """Three loads into a new table: each goes on from where the one before stopped, the last finds nothing new."""
     events = read(spark, folder, "events").select("event_id", "ts", "event_type")
     target = RunFolder(spark).path("events_by_week")
     load_by_period(events, target, "ts", "week", "2024-01-03", "2024-01-15 12:00:00")
+    load_by_period(events, target, "ts", "week", "2024-01-03", "2024-01-25")
     return load_by_period(events, target, "ts", "week", "2024-01-03", "2024-01-25")
 
 
@@ -389,6 +411,38 @@ def dq_equality(spark, folder):
     return checks.equality(customer, supplier)
 
 
+@registered
+def dq_equality_strict(spark, folder):
+    """Rows whose number differs count, too."""
+    customer = read(spark, folder, "customer").select(F.col("c_nationkey").alias("nation"))
+    supplier = read(spark, folder, "supplier").select(F.col("s_nationkey").alias("nation"))
+    return checks.equality(customer, supplier, strict=True)
+
+
+@registered
+def dq_helpers(spark, folder):
+    """Empty texts, unequal columns and differing sets of column names, counted by check."""
+    blanked = read(spark, folder, "customer").withColumn(
+        "c_mktsegment", F.when(F.col("c_mktsegment") == "MACHINERY", "").otherwise(F.col("c_mktsegment")))
+    lines = read(spark, folder, "lineitem").withColumn("l_tax", F.nullif(F.col("l_tax"), F.lit(0.02)))
+    missing, excess = checks.columns_match_set(blanked, ["C_CUSTKEY", "c_name", "c_phone"])
+    names = [("missing", n) for n in sorted(missing)] + [("excess", n) for n in sorted(excess)]
+    rows = read(spark, folder, "customer").agg(F.count(F.lit(1)).alias("n_rows"))
+    return checks.summarise([
+        checks.Outcome("not_empty_string", "customer", checks.not_empty_string(blanked, "c_mktsegment")),
+        checks.Outcome("columns_equal", "lineitem", checks.columns_equal(lines, "l_discount", "l_tax")),
+    ]).unionByName(rows.select(F.explode(F.array(*[
+        F.struct(F.lit(f"{side}_column").alias("check"), F.lit(name).alias("relation"), F.col("n_rows").alias("failures"))
+        for side, name in names])).alias("x")).select("x.*"))
+
+
+@registered
+def dq_recency_now(spark, folder):
+    """Against the current time: the events are older than a day, and not from the future."""
+    found = checks.recency(read(spark, folder, "events"), "ts", "day", 1)
+    return found.select("most_recent", (F.col("threshold") > F.lit("2025-01-01").cast("timestamp_ntz")).alias("is_current"))
+
+
 @registered
 def dq_cardinality_equality(spark, folder):
     return checks.cardinality_equality(

@@ -116,12 +116,13 @@ def table_oracles() -> dict[str, str]:
         "date_spine_daily_orders": finish("""
             SELECT CAST(d AS DATE) AS date_day, count(o_orderkey) AS n_orders,
                 coalesce(sum(o_totalprice), 0) AS total_price
-            FROM range(TIMESTAMP '1995-01-01', TIMESTAMP '2002-01-01', INTERVAL 1 DAY) s(d)
+            FROM (SELECT unnest(generate_series(CAST(min(o_orderdate) AS DATE), CAST(max(o_orderdate) AS DATE),
+                INTERVAL 1 DAY)) AS d FROM orders)
             LEFT JOIN orders ON CAST(o_orderdate AS DATE) = CAST(d AS DATE) GROUP BY 1""",
             "total_price"),
         "series_line_numbers": """
             SELECT i AS generated_number, nullif(count(l_linenumber), 0) AS n_lines
-            FROM range(1, 11) s(i) LEFT JOIN lineitem ON l_linenumber = i GROUP BY 1""",
+            FROM (SELECT unnest(range(1, max(l_linenumber) + 4)) AS i FROM lineitem) LEFT JOIN lineitem ON l_linenumber = i GROUP BY 1""",
         "star_except_customer": """
             SELECT c_custkey AS the_c_custkey_x, c_nationkey AS the_c_nationkey_x,
                 c_mktsegment AS the_c_mktsegment_x FROM customer""",
@@ -129,10 +130,10 @@ def table_oracles() -> dict[str, str]:
             SELECT c_custkey, c_name, c_nationkey, c_acctbal,
                 nullif(c_mktsegment, 'MACHINERY') AS c_mktsegment FROM customer""", "c_acctbal"),
         "except_intersect_nations": """
-            SELECT nation, 'buyers only' AS part FROM (SELECT c_nationkey AS nation FROM customer
-                EXCEPT SELECT s_nationkey FROM supplier WHERE s_acctbal > 0)
-            UNION ALL SELECT nation, 'both' FROM (SELECT c_nationkey AS nation FROM customer
-                INTERSECT SELECT s_nationkey FROM supplier WHERE s_acctbal > 0)""",
+            WITH buyers AS (SELECT c_nationkey AS nation, CAST(floor(c_acctbal / 1000) AS BIGINT) AS thousands FROM customer),
+            sellers AS (SELECT s_nationkey, CAST(floor(s_acctbal / 1000) AS BIGINT) FROM supplier)
+            SELECT *, 'buyers only' AS part FROM (FROM buyers EXCEPT FROM sellers)
+            UNION ALL SELECT *, 'both' FROM (FROM buyers INTERSECT FROM sellers)""",
         "group_by_first_columns": finish("""
             SELECT l_returnflag, l_linestatus, sum(l_quantity) AS quantity FROM lineitem
             GROUP BY 1, 2""", "quantity"),
@@ -267,6 +268,24 @@ def table_oracles() -> dict[str, str]:
             SELECT 'a_minus_b' AS which_diff, * FROM (SELECT * FROM c EXCEPT SELECT * FROM s)
             UNION ALL
             SELECT 'b_minus_a', * FROM (SELECT * FROM s EXCEPT SELECT * FROM c)""",
+        "dq_equality_strict": """
+            SELECT CASE WHEN coalesce(a, 0) > coalesce(b, 0) THEN 'a_minus_b' ELSE 'b_minus_a' END AS which_diff, nation
+            FROM (SELECT c_nationkey AS nation, count(*) AS a FROM customer GROUP BY 1)
+            FULL JOIN (SELECT s_nationkey AS nation, count(*) AS b FROM supplier GROUP BY 1) USING (nation)
+            WHERE coalesce(a, 0) <> coalesce(b, 0)""",
+        "dq_helpers": """
+            SELECT 'not_empty_string' AS "check", 'customer' AS relation, count(*) AS failures
+            FROM customer WHERE c_mktsegment = 'MACHINERY'
+            UNION ALL SELECT 'columns_equal', 'lineitem', count(*) FROM lineitem
+            WHERE l_discount IS DISTINCT FROM CASE WHEN l_tax <> 0.02 THEN l_tax END
+            UNION ALL SELECT kind, name, (SELECT count(*) FROM customer) FROM (VALUES ('missing_column', 'c_phone'),
+                ('excess_column', 'c_acctbal'), ('excess_column', 'c_mktsegment'), ('excess_column', 'c_nationkey')) v(kind, name)""",
+        "dq_recency_now": """
+            SELECT max(ts) AS most_recent, true AS is_current FROM events
+            HAVING max(ts) < CAST(now() AT TIME ZONE 'UTC' AS TIMESTAMP) - INTERVAL 1 DAY""",
+        "column_values_of_tables": """
+            SELECT o_orderstatus, count(*) AS n_orders, true AS listed, o_orderstatus IN ('F', 'none') AS in_default
+            FROM orders GROUP BY 1""",
         "dq_cardinality_equality": """
             WITH c AS (SELECT c_nationkey AS value, count(*) AS num_rows FROM customer GROUP BY 1),
             s AS (SELECT s_nationkey AS value, count(*) AS num_rows FROM supplier GROUP BY 1)
