@@ -10,6 +10,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 #: Fixed value: the characters between words.
@@ -62,6 +63,17 @@ def arrow_map(df: DataFrame, work, schema: str) -> DataFrame:
     return df.mapInArrow(work, schema)
 
 
+def by_bytes(batch: pa.RecordBatch, column: int, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch whose texts in ``column`` have at most ``most`` bytes together, or are one row."""
+    sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < batch.num_rows:
+        before = int(sizes[at - 1]) if at else 0
+        end = max(at + 1, int(np.searchsorted(sizes, before + most, "right")))
+        yield batch.slice(at, end - at)
+        at = end
+
+
 def groups_of(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
     """The runs of equal values in the first ``keys`` columns of sorted rows, across batches."""
     parts: list[pa.RecordBatch] = []
