@@ -1,13 +1,15 @@
 """Quality rules: plain counts, and a linear-chain conditional random field over lines.
 
-Each line is described by a few ratios. The chain has two states, boilerplate and content; its weights
-are learned in numpy from a bounded sample of labelled documents (whose lines all carry the
-document's label), and Viterbi decoding marks the lines of every document. A document is kept if it
-passes the base rules and at least half of its words stand in content lines.
+Each line is described by a few ratios. The chain has two states, boilerplate and content; its weights are
+learned in numpy from a bounded sample of labelled documents. Labels belong to documents, so those of the lines are derived:
+lines are told apart first, each for itself, by the labels of their documents; then a line that looks like those
+of the other kind takes the other label, as a symbol-heavy line of a good document or a line of prose in a bad one. The
+chain is trained on these, which teaches it how states change. Viterbi decoding marks the lines of every document. A
+document is kept if it passes the base rules and at least half of its words stand in content lines.
 
 Defined results: a null text counts as empty, without words, and fails the base rules. Ties in decoding go
 to content. Without labelled documents of both kinds every line is content. Rows that repeat get a result
-each; of labels that repeat for an id, any may be sampled.
+each; of labels that repeat for an id the largest counts, and of rows that repeat a labelled id the smallest text.
 """
 
 from __future__ import annotations
@@ -22,6 +24,7 @@ from fareflow.llm.common import arrow_map, numbered, pick
 
 TRAIN_DOCS = 800
 TRAIN_LINES = 64
+TRAIN_PARTS = 4
 STEPS = 150
 BLANKS = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
@@ -128,7 +131,7 @@ def viterbi(scores: np.ndarray, stay: float) -> np.ndarray:
 
 
 def fit(sequences: list[np.ndarray], labels: list[int]) -> Chain:
-    """Maximise the conditional likelihood by gradient steps over the whole sample, in batches of equal padding."""
+    """Raise the conditional likelihood by gradient steps over the whole sample, first line by line, then as a chain."""
     if not sequences or len(set(labels)) < 2:
         return Chain(np.zeros(N_FEATURES), np.ones(N_FEATURES), np.zeros(N_FEATURES + 1), 0.0)
     every = np.concatenate(sequences)
@@ -140,20 +143,41 @@ def fit(sequences: list[np.ndarray], labels: list[int]) -> Chain:
         x[i, :len(s), :-1] = np.clip((s - mean) / spread, -5, 5)
         x[i, :len(s), -1] = 1
     real = np.arange(x.shape[1]) < length[:, None]
+    owner = np.array([i for i, seq in enumerate(sequences) for _ in range(0, len(seq), TRAIN_LINES)])
     gold = np.array([y for _, y in cut])[:, None] * real
     # Both kinds of documents count alike, however many there are of each.
     share = np.array([y for _, y in cut]).mean().clip(0.02, 0.98)
     cost = np.where(np.array([y for _, y in cut]) == 1, 0.5 / share, 0.5 / (1 - share)) / len(cut)
-    weights, stay = np.zeros(N_FEATURES + 1), 0.0
-    steps = np.zeros(N_FEATURES + 2)
+    apart, _ = climb(x, real, gold, cost, np.zeros(N_FEATURES + 1), learn_stay=False)
+    weights, stay = climb(x, real, line_labels(x @ apart, gold, real, owner), cost, apart, learn_stay=True)
+    return Chain(mean, spread, weights, stay)
+
+
+def line_labels(scores: np.ndarray, gold: np.ndarray, real: np.ndarray, owner: np.ndarray) -> np.ndarray:
+    """The labels of lines: their document's, but for lines that look like those of the other kind.
+
+    Where that would be half of a document's lines or more, all keep its label, which the chain has to give back.
+    """
+    odd = ((scores > 0) != (gold > 0)) & real
+    lines, odd_lines = np.bincount(owner, real.sum(axis=1)), np.bincount(owner, odd.sum(axis=1))
+    few = (2 * odd_lines < lines)[owner]
+    return np.where(odd & few[:, None], 1 - gold, gold) * real
+
+
+def climb(
+    x: np.ndarray, real: np.ndarray, gold: np.ndarray, cost: np.ndarray, weights: np.ndarray, learn_stay: bool,
+) -> tuple[np.ndarray, float]:
+    """Weights and the score of staying that raise the likelihood of the gold states, from ``weights`` on."""
+    stay, squares = 0.0, np.zeros(N_FEATURES + 2)
+    stays = ((gold[:, 1:] == gold[:, :-1]) & real[:, 1:]).sum(axis=1)
     for _ in range(STEPS):
         content, same = marginals(x @ weights, stay, real)
         slope = np.append(np.einsum("i,ij,ijk->k", cost, (gold - content) * real, x) - 1e-3 * weights,
-                          (cost * ((real[:, 1:].sum(axis=1)) - same)).sum() - 1e-2 * stay)
-        steps += slope * slope
-        move = 0.3 * slope / np.sqrt(steps + 1e-9)
+                          (cost * (stays - same)).sum() - 1e-2 * stay if learn_stay else 0.0)
+        squares += slope * slope
+        move = 0.3 * slope / np.sqrt(squares + 1e-9)
         weights, stay = weights + move[:-1], stay + float(move[-1])
-    return Chain(mean, spread, weights, stay)
+    return weights, stay
 
 
 def marginals(scores: np.ndarray, stay: float, real: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -176,22 +200,32 @@ def marginals(scores: np.ndarray, stay: float, real: np.ndarray) -> tuple[np.nda
     return content, same.sum(axis=1)
 
 
+def some_lines(features: np.ndarray) -> np.ndarray:
+    """All lines of a document, or of a long one TRAIN_PARTS runs that lie evenly in it."""
+    if len(features) <= TRAIN_PARTS * TRAIN_LINES:
+        return features
+    starts = np.linspace(0, len(features) - TRAIN_LINES, TRAIN_PARTS).astype(int)
+    return np.concatenate([features[s:s + TRAIN_LINES] for s in starts])
+
+
 def train(
     docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text",
     label_column: str = "quality", sample: int = TRAIN_DOCS,
 ) -> Chain:
     """A chain from at most ``sample`` labelled documents, the first ones in the order of a hash of the id.
 
-    Only the features of the sampled documents come back to the driver.
+    Only the features of TRAIN_PARTS runs of TRAIN_LINES lines of a sampled document come back to the driver at most.
     """
     docs = pick(docs, id_column, text_column).toDF("doc_id", "text")
     chosen = pick(labels, id_column, label_column).toDF("doc_id", "label").where(
-        "doc_id IS NOT NULL AND label IS NOT NULL").orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(sample)
-    rows = docs.join(F.broadcast(chosen), "doc_id").select("doc_id", F.col("label").cast("long").alias("label"), "text")
+        "doc_id IS NOT NULL AND label IS NOT NULL").groupBy("doc_id").agg(F.max("label").alias("label")).orderBy(
+        F.xxhash64("doc_id"), "doc_id").limit(sample)
+    rows = docs.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(
+        F.max("label").cast("long").alias("label"), F.min("text").alias("text"))
 
     def work(batches):
         for batch in batches:
-            found = [measure(t.as_py() or "")[2].astype(np.float32).tobytes() for t in batch.column(2)]
+            found = [some_lines(measure(t.as_py() or "")[2]).astype(np.float32).tobytes() for t in batch.column(2)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).cast(pa.int64()), batch.column(1), pa.array(found, pa.binary())], ["doc_id", "label", "features"])
 

@@ -5,7 +5,8 @@ import numpy as np
 import pytest
 
 from fareflow.llm.line_quality import (
-    Chain, N_FEATURES, emissions, fit, good_documents, judge, judge_documents, marginals, measure, repeated, train, viterbi)
+    Chain, N_FEATURES, TRAIN_LINES, TRAIN_PARTS, emissions, fit, good_documents, judge, judge_documents, marginals, measure, repeated,
+    some_lines, train, viterbi)
 
 BLANK = " \t\n\x0b\x0c\r"
 FOLDER = "/root/testdata/sf0.1"
@@ -61,6 +62,43 @@ def test_held_out_accuracy(spark):
     assert sum(r.kept for r in good) / len(good) > 0.99
 
 
+def prose(draw):
+    return " ".join("".join(draw.choice("aeioulmnrst") for _ in range(draw.randrange(2, 9))) for _ in range(draw.randrange(6, 14))) + "."
+
+
+def junk(draw):
+    return " ".join(draw.choice(["|", "#", "%%", "$ 9", "&&", "<>", "404", "12*", "***", "A!"]) for _ in range(draw.randrange(3, 9)))
+
+
+def test_mixed_documents_have_mixed_states():
+    """Labels belong to whole documents, some of whose lines are of the other kind."""
+    draw, texts, labels, kinds = random.Random(6), [], [], []
+    for i in range(240):
+        good, state, own = i % 2, i % 2, []
+        for _ in range(draw.randrange(8, 30)):
+            state = (1 - state) if draw.random() < (0.1 if state == good else 0.4) else state
+            own.append(state)
+        texts.append("\n".join(prose(draw) if s else junk(draw) for s in own))
+        labels.append(good)
+        kinds.append(np.array(own, bool))
+    chain = fit([measure(t)[2] for t in texts[:160]], labels[:160])
+    decoded = [viterbi(emissions(chain, measure(t)[2]), chain.stay) for t in texts[160:]]
+    right = np.concatenate([d == k for d, k in zip(decoded, kinds[160:])])
+    assert right.mean() > 0.95
+    assert sum(0 < d.sum() < len(d) for d in decoded) > 0.9 * sum(0 < k.sum() < len(k) for k in kinds[160:])
+    assert 0 < chain.stay < 10
+
+
+def test_training_takes_a_bounded_part_of_a_document(spark):
+    many = np.arange(100_000.0)[:, None] + np.zeros(N_FEATURES)
+    assert len(some_lines(many)) == TRAIN_PARTS * TRAIN_LINES and len(some_lines(many[:70])) == 70
+    assert some_lines(many)[0, 0] == 0 and some_lines(many)[-1, 0] == 99_999
+    # A labelled id that many rows share is one document.
+    docs = spark.range(3000).selectExpr("id % 2 AS doc_id", "concat('plain words of row ', id, ' and more of them follow here') AS text")
+    labels = spark.createDataFrame([(0, 0), (1, 1), (1, 0), (1, None)], "doc_id long, quality int")
+    assert train(docs, labels).spread.shape == (N_FEATURES,)
+
+
 def test_documents(spark):
     good, bad = "Plain words stand here in a row.\nAnd some more of them follow.", "A! %% #1 | |\n" * 3 + "q ## 77 | x1 $$ z9 && k2 ** m3"
     rows = [(i, t, y) for i, (t, y) in enumerate([(good + f" number{i}", 1) for i in range(30)] + [(bad + f" {i}", 0) for i in range(30)])]
