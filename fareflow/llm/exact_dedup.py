@@ -3,7 +3,7 @@
 Copies are combined three times, and each time rows count as equal only if their whole texts are:
 within a task (the map side of the first aggregate), within a salted digest group, and between
 the salted winners of a digest. A hot text therefore reaches the last step as at most one row
-for each salt. Memberships are then looked up by digest. Should two different texts share a
+for each salt. Memberships are then looked up by digest, those of hot texts by digest and salt. Should two different texts share a
 digest, those digests (and no others) are looked up by digest and text.
 
 Defined results: a null text counts as the empty text. A null id is smaller than any other, so it
@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
 from fareflow.llm.common import numbered, pick, place
+from fareflow.operators.joins import lookup
 from fareflow.sources.tables import RunFolder
 
 SALTS = 16
@@ -69,8 +70,9 @@ def duplicate_groups(
     members = docs.select("doc_id", digest(text).alias("_digest"), sha256(text).alias("text_sha256"))
     # Rows that repeat text and id are counted, so that one of them can stay.
     members = members.groupBy("_digest", "text_sha256", "doc_id").agg(F.count(F.lit(1)).alias("_copies"))
-    single = groups.where("_texts = 1")
-    result = members.join(single.select("_digest", "keep_id", "group_size"), "_digest")
+    # A hot text's rows are spread over salts there.
+    result = lookup(members, groups, ["_digest"], ["_texts", "keep_id", "group_size"], "group_size").where(
+        "_texts = 1").drop("_texts")
     clashing = groups.where("_texts > 1").select("_digest")
     if not clashing.isEmpty():
         result = result.unionByName(_by_content(docs, clashing, salts, digest))

@@ -51,6 +51,32 @@ def test_normalised_text_and_empty_table(spark):
     assert without_duplicates(docs.limit(0)).count() == 0
 
 
+def test_memberships_of_a_hot_text_are_spread(spark, monkeypatch):
+    """With look-ups by shuffle, no task holds much of a text that a third of all rows have."""
+    from fareflow.llm import exact_dedup
+    from fareflow.operators.joins import lookup
+
+    found = []
+
+    def by_shuffle(*args):
+        joined = lookup(*args, broadcast_bytes=0, hot_rows=100)
+        found.append(sorted(r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()))
+        return joined
+
+    monkeypatch.setattr(exact_dedup, "lookup", by_shuffle)
+    docs = spark.range(9000).selectExpr("id AS doc_id", "IF(id % 3 = 0, 'hot', CAST(id AS STRING)) AS text")
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        kept = duplicate_groups(docs).where("kept").count()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert kept == 6001 and len(found[0]) == 4 and found[0][-1] < 2 * found[0][1]
+
+
 def test_hot_text(spark):
     docs = spark.range(5000).selectExpr("id AS doc_id", "IF(id % 3 = 0, 'hot', CAST(id AS STRING)) AS text")
     found = duplicate_groups(docs)
