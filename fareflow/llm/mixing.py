@@ -1,18 +1,21 @@
 """Mixing sources to target weights, in DataFrame expressions alone.
 
 Every source is a stream of words: its documents one after the other, packed into blocks of fixed
-length. Output shards hold a fixed number of block slots. Each shard draws how many slots each source
-gets: the whole part of its share is given, and the slots that remain are drawn with the fractions as
-probabilities. A source's slots are numbered through all shards; the number, taken modulo the source's blocks, goes
-through a pseudorandom permutation of the block indices (another one for each pass over the source), and
-blocks are joined by source and index. A document's share is the overlap of its words with the drawn blocks.
-
-Targets: each source gets its weight's part of all words, but at most ``cap`` times its own; what is over
-is shared again by weight among the others, until none is above.
+length (the last one may be shorter). Targets: each source gets its weight's part of all words, but at most
+``cap`` times its own; what is over is shared again by weight among the others, until none is above.
+
+A source needs as many block slots as its target takes: whole passes over its blocks, and in one more pass as many
+blocks as hold the rest. Output shards hold a fixed number of slots. For every slot of a shard a source is drawn, with the
+needed slots as weights, so the sources' counts in a shard are multinomial. A source that was drawn too often gives the last
+of its slots to sources drawn too rarely, in a fixed order, so each has exactly the slots it needs. A source's
+slots are numbered through all shards; the number, taken modulo the source's blocks, goes through a pseudorandom
+permutation of the block indices (another one for each pass over the source), and blocks are joined by source and
+index. The block in which the target is reached is cut there. A document's share is the overlap of its words with
+the drawn blocks.
 
 Defined results: a null text has no words. A null source is a source of its own, ordered last. Rows are
-never merged; rows that repeat follow one another in the stream. Slots drawn beyond ``cap`` passes of a
-source stay empty. All draws are hashes of indices, so reruns agree.
+never merged; rows that repeat follow one another in the stream. Of a target the whole words are taken. All draws are
+hashes of indices, so reruns agree.
 """
 
 from __future__ import annotations
@@ -22,6 +25,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from fareflow.llm.common import WORD, numbered, pick, place
+from fareflow.operators.joins import lookup
 from fareflow.sources.tables import RunFolder
 
 BLOCK = 64
@@ -29,7 +33,7 @@ SHARD_SLOTS = 4096
 CHUNK_ROWS = 10_000
 CHUNK_SLOTS = 20_000
 WALK = 64
-FINE = 1 << 40
+DRAWS_AT_ONCE = 250_000
 ROUNDS = 4
 
 
@@ -52,8 +56,11 @@ def permuted(index: Column, size: Column, key: Column) -> Column:
         return left * high + right
 
     first = once(index.cast("long"))
-    return F.when(first < size, first).otherwise(F.aggregate(
-        F.sequence(F.lit(1), F.lit(WALK)), first, lambda x, _: F.when(x >= size, once(x)).otherwise(x)))
+    last = F.aggregate(F.sequence(F.lit(1), F.lit(WALK)), first, lambda x, _: F.when(x >= size, once(x)).otherwise(x))
+    # Fewer pairs than the root of the size stand for numbers from it on: up to WALK ** 2 the walk always ends in time, and
+    # beyond it would need WALK steps of a chance below 1 / WALK each.
+    return F.when(first < size, first).when(last < size, last).otherwise(
+        F.raise_error(F.lit("the walk of a permutation did not end")).cast("long"))
 
 
 def running_start(df: DataFrame, keys: Sequence[str], order: Sequence[str], size: str, rows: str) -> DataFrame:
@@ -104,64 +111,61 @@ def source_table(sized: DataFrame, weights: Sequence[int], cap: int, run: RunFol
     cycle = F.array(*map(F.lit, weights))
     placed = ranked(sums, run).withColumn(
         "weight", F.element_at(cycle, (F.col("place") % len(weights) + 1).cast("int")))
-    return run.write("sources", with_targets(run.write("placed", placed), cap).withColumn(
-        "n_blocks", F.ceil(F.col("source_size") / BLOCK)))
+    passes = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
+    last = F.least("n_blocks", F.ceil(F.col("rest") / BLOCK) + 1)  # one to spare, since a shorter block may be among them
+    return run.write("sources", with_targets(run.write("placed", placed), cap).withColumns({
+        "n_blocks": F.ceil(F.col("source_size") / BLOCK), "passes": passes}).withColumn(
+        "rest", F.floor("target") - F.col("passes") * F.col("source_size")).withColumn(
+        "n_slots", F.col("passes") * F.col("n_blocks") + F.when(F.col("rest") > 0, last).otherwise(0)))
 
 
-def drawn_slots(sources: DataFrame, run: RunFolder) -> DataFrame:
-    """place, slot, shard, n_blocks: the block slots of all shards, numbered through for each source."""
+def drawn_counts(sources: DataFrame, run: RunFolder) -> DataFrame:
+    """place, shard, n: how many slots of each shard were drawn for each source."""
     spark = sources.sparkSession
-    n_sources, words, wanted = sources.agg(
-        F.count(F.lit(1)), F.sum("source_size"), F.sum("target")).first()
-    slots = -(-int(words or 0) // BLOCK)
-    if not slots:
-        return sources.limit(0).select("place", F.lit(0).cast("long").alias("slot"), F.lit(0).cast("long").alias("shard"), "n_blocks")
-    full, rest = divmod(slots, SHARD_SLOTS)
-    kinds = F.array(*[F.struct(F.lit(kind).alias("kind"), F.lit(size).alias("size"), F.lit(shards).cast("long").alias("shards"))
-                      for kind, (size, shards) in enumerate(((SHARD_SLOTS, full), (rest, 1)))])
-    share = F.col("k.size") * F.col("target") / F.lit(float(wanted))
-    parts = run.write("shares", sources.select("place", "target", "n_blocks", F.explode(kinds).alias("k")).select(
-        "place", "n_blocks", "k.kind", "k.size", "k.shards", F.floor(share).alias("whole"),
-        F.floor((share - F.floor(share)) * FINE).alias("part")))
-    sums = {r.kind: r for r in parts.groupBy("kind").agg(
-        F.sum("whole").alias("whole"), F.sum("part").alias("part")).collect()}
-
-    # The fractions of all sources lie side by side; a draw falls on one of them. Both sides are cut
+    needing = sources.where("n_slots > 0")
+    n_sources, total = needing.agg(F.count(F.lit(1)), F.sum("n_slots")).first()
+    # The sources lie side by side, each as wide as its slots; a draw falls on one of them. Both sides are cut
     # into cells, so that the look-up is a join by cell.
-    cell = {kind: max(1, -(-int(r.part) // (4 * n_sources))) for kind, r in sums.items()}
-    width = F.when(F.col("kind") == 0, F.lit(cell[0])).otherwise(F.lit(cell[1])).cast("long")
-    lots = running_start(parts.where("part > 0").withColumn("n", F.lit(n_sources)), ["kind"], ["place"], "part", "n")
-    lots = lots.withColumn("width", width).select(
-        "kind", "place", "n_blocks", F.col("_start").alias("lo"), (F.col("_start") + F.col("part")).alias("hi"),
-        F.explode(F.sequence(F.floor(F.col("_start") / F.col("width")),
-                             F.floor((F.col("_start") + F.col("part") - 1) / F.col("width")))).alias("cell"))
-    draws = None
-    for kind, first, shards, size in ((0, 0, full, SHARD_SLOTS), (1, full, 1, rest)):
-        open_slots = size - int(sums[kind].whole)
-        if open_slots <= 0 or not shards or not sums[kind].part:
-            continue
-        some = spark.range(shards * open_slots).select(
-            F.lit(kind).alias("kind"), (F.floor(F.col("id") / open_slots) + first).alias("shard"),
-            F.pmod(F.xxhash64("id", F.lit(kind)), F.lit(int(sums[kind].part))).alias("lot"),
-            F.col("id").alias("draw")).withColumn("cell", F.floor(F.col("lot") / F.lit(cell[kind])))
-        draws = some if draws is None else draws.unionByName(some)
-    given = parts.groupBy("place", "n_blocks").agg(F.sum(F.col("whole") * F.col("shards")).alias("n"),
-                                                   F.max(F.when(F.col("kind") == 0, F.col("whole"))).alias("each"))
-    counted = given.select("place", "n_blocks", "each", "n", F.explode(F.sequence(
-        F.lit(0).cast("long"), F.floor((F.col("n") - 1) / CHUNK_SLOTS))).alias("chunk")).where("n > 0")
-    # The number of partitions is given, since the few rows here are about to become many.
-    counted = counted.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "place", "chunk").select("place", "n_blocks", "each", F.explode(F.sequence(
-        F.col("chunk") * CHUNK_SLOTS, F.least((F.col("chunk") + 1) * CHUNK_SLOTS, F.col("n")) - 1)).alias("slot"))
-    result = counted.select("place", "slot", F.when(F.col("each") > 0, F.least(
-        F.floor(F.col("slot") / F.col("each")), F.lit(full))).otherwise(F.lit(full)).alias("shard"), "n_blocks")
-    if draws is None:
-        return result
-    drawn = run.write("drawn", draws.join(lots, ["kind", "cell"]).where("lo <= lot AND lot < hi").select(
-        "place", "n_blocks", "kind", "shard", "draw"))
-    per_source = drawn.groupBy("place").agg(F.count(F.lit(1)).alias("n_drawn"))
-    numbered = running_start(drawn.join(per_source, "place").withColumn("one", F.lit(1)), ["place"], ["kind", "draw"], "one", "n_drawn")
-    return result.unionByName(numbered.join(given.select("place", "n"), "place").select(
-        "place", (F.col("n") + F.col("_start")).alias("slot"), "shard", "n_blocks"))
+    width = max(1, -(-int(total or 0) // (4 * max(1, n_sources))))
+    lots = running_start(needing.withColumns({"all": F.lit(0), "n": F.lit(n_sources)}), ["all"], ["place"], "n_slots", "n")
+    end = F.col("_start") + F.col("n_slots")
+    lots = lots.select("place", F.col("_start").alias("lo"), end.alias("hi"), F.explode(F.sequence(
+        F.floor(F.col("_start") / width), F.floor((end - 1) / width))).alias("cell"))
+    tasks = max(spark.sparkContext.defaultParallelism, -(-int(total or 0) // DRAWS_AT_ONCE))
+    draws = spark.range(0, int(total or 0), 1, tasks).select(
+        F.floor(F.col("id") / SHARD_SLOTS).alias("shard"),
+        F.pmod(F.xxhash64("id"), F.lit(max(1, int(total or 0)))).alias("lot")).withColumn("cell", F.floor(F.col("lot") / width))
+    return run.write("drawn", draws.join(lots, "cell").where("lo <= lot AND lot < hi").groupBy("place", "shard").agg(
+        F.count(F.lit(1)).alias("n")))
+
+
+def drawn_slots(sources: DataFrame, run: RunFolder) -> DataFrame:
+    """place, slot, shard: for every source slots 0 to n_slots - 1, and the shards that they are in."""
+    drawn = drawn_counts(sources, run)
+    per_source = run.write("drawn_sums", sources.where("n_slots > 0").select("place", "n_slots").join(
+        drawn.groupBy("place").agg(F.sum("n").alias("n_drawn"), F.count(F.lit(1)).alias("n_shards")), "place", "left"
+    ).na.fill(0, ["n_drawn", "n_shards"]))
+    ranges = run.write("slot_ranges", running_start(
+        lookup(drawn, per_source, ["place"], ["n_slots", "n_shards"], "n_shards"), ["place"], ["shard"], "n", "n_shards"))
+    first, end, wanted = F.col("_start"), F.col("_start") + F.col("n"), F.col("n_slots")
+    # A sequence is as long as a shard at most.
+    own = ranges.where(first < wanted).select(
+        "place", F.explode(F.sequence(first, F.least(end, wanted) - 1)).alias("slot"), "shard")
+    over = run.write("slots_over", ranges.where(end > wanted).select(
+        "place", F.explode(F.sequence(F.greatest(first, wanted), end - 1)).alias("slot"), "shard"))
+    under = per_source.where("n_drawn < n_slots").select("place", "n_slots", "n_drawn", F.explode(F.sequence(
+        F.lit(0).cast("long"), F.floor((wanted - F.col("n_drawn") - 1) / CHUNK_SLOTS))).alias("chunk"))
+    under = run.write("slots_under", under.select("place", F.explode(F.sequence(
+        F.col("n_drawn") + F.col("chunk") * CHUNK_SLOTS,
+        F.least(F.col("n_drawn") + (F.col("chunk") + 1) * CHUNK_SLOTS, wanted) - 1)).alias("slot")))
+    n_over = over.count()  # as many as are missing, since draws and needed slots are equal in number
+
+    def indexed(rows: DataFrame) -> DataFrame:
+        one = rows.withColumns({"one": F.lit(1), "all": F.lit(0), "n_rows": F.lit(n_over)})
+        return running_start(one, ["all"], ["place", "slot"], "one", "n_rows")
+
+    given = indexed(under).select("place", "slot", "_start").join(indexed(over).select("shard", "_start"), "_start")
+    return own.unionByName(given.select("place", "slot", "shard"))
 
 
 def mix(
@@ -173,30 +177,44 @@ def mix(
     sized = run.write("sized", pick(docs, id_column, text_column, source_column).toDF("doc_id", "text", "source").select(
         "doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size")))
     sources = source_table(sized, weights, cap, run)
-    slots = drawn_slots(sources, run).withColumns({
-        "turn": F.floor(F.col("slot") / F.col("n_blocks")), "at": F.col("slot") % F.col("n_blocks")})
-    key = F.pmod(F.xxhash64("place", "turn"), F.lit(1 << 30))
-    times = slots.where(F.col("turn") < cap).select(
-        "place", permuted(F.col("at"), F.col("n_blocks"), key).alias("block")).groupBy("place", "block").agg(
-        F.count(F.lit(1)).alias("times"))
-
-    same = F.expr("d.source <=> s.source")
+    taken_blocks = block_uses(sources, run)
     placed = run.write("streams", running_start(
-        sized.alias("d").join(sources.alias("s"), same).select(
-            "d.doc_id", "d.size", "d.source", "s.place", "s.n_docs", "s.source_size", "s.target"),
+        lookup(sized, sources, ["source"], ["place", "n_docs", "source_size", "target"], "n_docs", match_nulls=True),
         ["place"], ["doc_id"], "size", "n_docs"))
     end = F.col("_start") + F.col("size")
     pieces = placed.where("size > 0").select("place", "_start", "size", F.explode(F.sequence(
         F.floor(F.col("_start") / BLOCK), F.floor((end - 1) / BLOCK))).alias("block"))
     low, high = F.greatest(F.col("_start"), F.col("block") * BLOCK), F.least(end, (F.col("block") + 1) * BLOCK)
-    taken = pieces.join(times, ["place", "block"]).groupBy("place", "_start").agg(
-        F.sum((high - low) * F.col("times")).alias("taken"))
+    cut = F.greatest(F.lit(0), F.least(high, F.col("block") * BLOCK + F.col("part")) - low)
+    taken = pieces.join(taken_blocks, ["place", "block"]).groupBy("place", "_start").agg(
+        F.sum((high - low) * F.col("times") + cut).alias("taken"))
     # A row of size 0 has the start of its successor.
     mine = F.expr("p.place = t.place AND p._start = t._start AND p.size > 0")
     return placed.alias("p").join(taken.alias("t"), mine, "left").select(
         "p.doc_id", "p.size", "p.source", "p.source_size", "p.target", F.coalesce("t.taken", F.lit(0)).cast("long").alias("taken"))
 
 
+def block_uses(sources: DataFrame, run: RunFolder) -> DataFrame:
+    """place, block, times (passes that take it whole) and part (its first words that the last pass takes)."""
+    own = ["n_blocks", "passes", "rest", "source_size"]
+    slots = lookup(drawn_slots(sources, run), run.write("slot_sources", sources.select("place", "n_slots", *own)),
+                   ["place"], own, "n_slots").withColumns({
+        "turn": F.floor(F.col("slot") / F.col("n_blocks")), "at": F.col("slot") % F.col("n_blocks")})
+    key = F.pmod(F.xxhash64("place", "turn"), F.lit(1 << 30))
+    slots = run.write("slots", slots.withColumn("block", permuted(F.col("at"), F.col("n_blocks"), key)))
+    # A source's last block may be shorter; one row a source tells where the last pass meets it.
+    shorter = run.write("shorter", slots.where("turn = passes AND block = n_blocks - 1").select(
+        "place", F.col("at").alias("shorter_at"), F.lit(1).alias("n")))
+    last = lookup(slots.where("turn = passes"), shorter, ["place"], ["shorter_at"], "n")
+    lacking = F.col("n_blocks") * BLOCK - F.col("source_size")
+    before = F.col("at") * BLOCK - F.when(F.col("shorter_at") < F.col("at"), lacking).otherwise(0)
+    length = F.when(F.col("block") == F.col("n_blocks") - 1, BLOCK - lacking).otherwise(BLOCK)
+    part = F.greatest(F.lit(0), F.least(length, F.col("rest") - before))
+    whole = slots.where("turn < passes").select("place", "block", F.lit(1).alias("times"), F.lit(0).cast("long").alias("part"))
+    return whole.unionByName(last.select("place", "block", F.lit(0).alias("times"), part.cast("long").alias("part"))).groupBy(
+        "place", "block").agg(F.sum("times").alias("times"), F.sum("part").alias("part")).where("times > 0 OR part > 0")
+
+
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` as often as the mix takes them, with all their columns.
 
