@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from fareflow.llm.url_filter import judge_urls, labelled_urls, train
 
@@ -44,12 +45,28 @@ def test_rules_and_parts(spark, model):
     assert judge_urls(pages, [], *model).where("rule IS NOT NULL").count() == 0
 
 
-def test_model_tells_held_out_sites_apart(spark, model):
-    bad = ["best-casino-bonus.info", "cheap-pills-now.biz", "www.porn-tube.cc", "my-spam-farm.org", "payday-loans24.com"]
-    good = ["www.weatherstation.info", "musichistory.net", "citylibrary.org", "school-garden.com", "m.healthnews.net"]
-    pages = spark.createDataFrame([(i, f"https://{h}/en/3") for i, h in enumerate(bad + good)], "page_id long, url string")
+def test_held_out_names(spark):
+    """A fifth of the table at a time is left out of the training."""
+    rows = labelled_urls(spark).withColumn("fold", F.pmod(F.xxhash64("url"), F.lit(5))).cache()
+    right = total = 0
+    for fold in range(5):
+        model = train(rows.where(F.col("fold") != fold).select("url", "bad"))
+        held = rows.where(F.col("fold") == fold).select(F.monotonically_increasing_id().alias("page_id"), "url", "bad")
+        found = {r.page_id: r.verdict for r in judge_urls(held, [], *model).collect()}
+        for r in held.collect():
+            right += (found[r.page_id] == "block") == (r.bad == 1)
+            total += 1
+    assert total == rows.count() and right / total > 0.85
+
+
+def test_names_and_paths_of_no_training_row(spark, model):
+    bad = ["http://lucky-spins-casino.win/welcome-bonus", "http://discount-rx-meds.biz/buy-tramadol", "http://serial-key-cracks.ws/office-keygen",
+           "http://webcam-girls.xxx/free-chat", "http://quick-cash-loans.loan/apply-now", "http://instagram-followers-buy.top/cheap"]
+    good = ["https://www.allotmentsociety.org.uk/plots/waiting-list", "https://citychoir.nl/concerten", "https://www.glaciology.org/papers/2014/ice-cores",
+            "https://handbook.rowingclub.ie/safety", "https://www.puppettheatre.cz/program", "https://en.railwaymuseum.org/locomotives"]
+    pages = spark.createDataFrame(list(enumerate(bad + good)), "page_id long, url string")
     found = {r.page_id: r.verdict for r in judge_urls(pages, [], *model).collect()}
-    assert [found[i] for i in range(10)] == ["block"] * 5 + ["allow"] * 5
+    assert sum(found[i] == "block" for i in range(6)) >= 5 and all(found[i] == "allow" for i in range(6, 12))
 
 
 def test_no_python_in_the_plan(spark, model):
