@@ -1,9 +1,10 @@
 """Personal data: fixed patterns, and a character BiLSTM with a CRF on top that adds what they miss.
 
-The network is trained in numpy on labelled spans. A text is read in overlapping windows around every digit and
-every "@" (no span is without one). Each window is decoded; pieces of one kind that overlap are joined, and
-of spans that exclude one another those of the largest total score are taken. Spans of the patterns stay,
-and the network's count only beside them.
+The network is trained in numpy on labelled spans, once: the shared folder keeps its arrays, by a digest of all that they
+follow from, and later runs read them. A text is read in overlapping windows around every digit, every "@" and every "at"
+or "dot" that stands alone. Each window is decoded; pieces of one kind that overlap are joined, and of spans that exclude
+one another those of the largest total score are taken. Spans of the patterns stay. Beside them the network adds what
+people write otherwise: addresses with blanks or words for their signs, numbers with other joints or no country code.
 
 Offsets are code points, ends exclusive. Defined results: a null text counts as empty, without spans. Every row
 gets a result, repeated rows too. Texts of any length are read whole, in linear time.
@@ -14,13 +15,17 @@ from __future__ import annotations
 import random
 import re
 from functools import lru_cache
+from hashlib import sha256
+from pathlib import Path
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 
-from fareflow.llm.common import arrow_map, pick
+from fareflow.llm.common import arrow_map, by_bytes, pick
+from fareflow.sources.tables import shared_folder
 
 #: Fixed values, in the order in which spans with one start are listed.
 KINDS = ("email", "ip", "card", "phone")
@@ -30,13 +35,17 @@ _EMAIL_START = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz01
 _IP = re.compile(r"(?<![0-9])[0-9]++(\.[0-9]++)(\.[0-9]++)(\.[0-9]++)")
 _CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_SEED = re.compile(r"[0-9@]")
+#: Where windows are read: at digits, "@", and the words by which people write an address for people.
+_SEED = re.compile(r"[0-9@]|[\[({ ](?:at|dot)[\])} ]")
 
-WINDOW, STRIDE, REACH = 64, 32, 24
-HIDDEN, EMBEDDED, LETTERS = 16, 12, 130
+_AT_MARK, _DOT_WORD = re.compile(r"[\[(]at[\])]"), re.compile(r"[\[( ]dot[\]) ]")
+
+WINDOW, STRIDE, REACH = 64, 32, 28
+HIDDEN, EMBEDDED, LETTERS = 24, 12, 130
 N_TAGS = len(KINDS) + 1
-TRAIN_TEXTS, EPOCHS, BATCH = 1600, 10, 32
-LEAST_SCORE = 0.5
+TRAIN_TEXTS, EPOCHS, BATCH = 4000, 8, 64
+LEAST_SCORE = 0.25
+STORED = "name string, shape array<int>, numbers array<float>"
 
 
 class Span(NamedTuple):
@@ -86,28 +95,45 @@ _SYLLABLES = "the an of er re lu mo ti sal ven kor da que ich un ó é ra le ne
 
 
 def labelled_text(draw: random.Random) -> tuple[str, list[Span]]:
-    """A line of prose with numbers of all sorts; the personal ones are labelled."""
+    """A line of prose with numbers of all sorts; the personal ones are labelled. Longer runs of digits than a card has
+    are left to ``plausible``, which counts them."""
     digits = lambda n: "".join(draw.choice("0123456789") for _ in range(n))
     word = lambda: "".join(draw.choice(_SYLLABLES) for _ in range(draw.randrange(1, 4)))
     plain = lambda: re.sub("[^a-z]", "x", word())
 
     def card():
-        first = draw.choice("3456") + digits(14)
+        first = draw.choice(["4", "5", "6", "34", "37", "36"])
+        size = {"34": 15, "37": 15, "36": 14}.get(first, draw.choice([16, 16, 16, 13, 19]))
+        first += digits(size - 1 - len(first))
         number = next(first + d for d in "0123456789" if luhn(first + d))
-        joint = draw.choice(["", "", " ", "-", "."])
-        return joint.join(number[i:i + 4] for i in range(0, 16, 4))
+        joint = draw.choice(["", "", "", "", "", " ", " ", "-", "-", ".", "/", "  "])
+        groups = (4, 6, 5) if size == 15 and draw.random() < 0.7 else (4,) * 5
+        ends = [sum(groups[:k]) for k in range(len(groups) + 1)]
+        return joint.join(filter(None, (number[x:y] for x, y in zip(ends, ends[1:]))))
 
     def phone():
-        area, middle, last = digits(3), digits(3), digits(4)
+        area, middle, last, country = digits(3), digits(3), digits(4), draw.choice(["1", "44", "49", "33", "7", "351", digits(2)])
+        joint = draw.choice([" ", "-", ".", " ", "-"])
         return draw.choice([
-            f"+{digits(1)} ({area}) {middle}-{last}", f"+{digits(2)} {digits(3)} {digits(7)}", f"({area}) {middle}-{last}",
-            f"{area}-{middle}-{last}", f"+{digits(2)}.{area}.{middle}.{last}", f"0{digits(3)}/{digits(7)}"])
+            f"+{country} ({area}) {middle}-{last}", f"+{country}{joint}{area}{joint}{middle}{joint}{last}", f"+{country} {digits(2)} {digits(7)}",
+            f"+{country}{area}{middle}{last}", f"({area}) {middle}{joint}{last}", f"{area}-{middle}-{last}", f"{area}.{middle}.{last}",
+            f"+{country} {digits(3)} {digits(6)}", f"0{digits(3)}/{digits(7)}", f"00{country} {area} {middle} {last}", f"tel. {area} {middle} {last}"[5:]])
 
     def email():
-        host = f"{plain()}{draw.choice(['', digits(1)])}.{draw.choice(['example.com', 'org', 'net', 'co.uk'])}"
-        return draw.choice([f"{plain()}.{digits(2)}", plain(), f"{plain()}_{plain()}"]) + draw.choice(["@", "@", "@", " @ "]) + host
-
-    personal = (email, lambda: ".".join(str(draw.randrange(256)) for _ in range(4)), card, phone)
+        own = draw.choice([f"{plain()}.{digits(2)}", plain(), f"{plain()}_{plain()}", f"{plain()}.{plain()}", f"{plain()}{digits(draw.randrange(1, 4))}",
+                           f"{plain()}+{plain()}", f"{plain()}-{plain()}"])
+        names = [f"{plain()}{draw.choice(['', '', digits(1)])}", *draw.choice([["example", "com"], ["org"], ["net"], ["co", "uk"], ["com"], ["com"], ["example", "org"],
+                                                                           ["edu", draw.choice("mx au br".split())], [draw.choice("de fr se ch it nl es eu io us".split())]])]
+        if draw.random() < 0.3:
+            names = [draw.choice(["mail", "example", "corp", "web"]) + draw.choice(["", digits(1)]), *names[1:]]
+        sign, dot = draw.choice([("@", ".")] * 8 + [(" @ ", "."), (" at ", " dot "), (" [at] ", " [dot] "), ("(at)", "(dot)"), (" (at) ", "."), ("[at]", ".")])
+        return (own if dot == "." else own.replace(".", dot)) + sign + dot.join(names)
+
+    def address():
+        part = lambda: str(draw.choice([draw.randrange(256), draw.randrange(100, 256), draw.choice([0, 1, 10, 127, 168, 192, 255])]))
+        return draw.choice([".", ".", ".", ".", ".", ".", ".", " . ", "[.]", " dot "]).join(part() for _ in range(4))
+
+    personal = (email, address, card, phone)
     hexes = lambda n: "".join(draw.choice("0123456789abcdef") for _ in range(n))
     other = (
         lambda: str(draw.randrange(1900, 2040)), lambda: digits(draw.randrange(1, 7)), lambda: f"{digits(2)}.{digits(2)} %",
@@ -115,15 +141,21 @@ def labelled_text(draw: random.Random) -> tuple[str, list[Span]]:
         lambda: f'{draw.choice(["token", "key", "secret"])} = "{hexes(draw.choice([32, 40]))}"', lambda: f"AKIA{hexes(16).upper()}",
         lambda: f"{digits(2)}:{digits(2)}:{digits(2)}", lambda: f"{digits(3)},{digits(3)},{digits(3)}", lambda: f"#{digits(8)}",
         lambda: f"({digits(4)}-{digits(4)})", lambda: f"{hexes(8)}-{hexes(4)}-{hexes(4)}", lambda: f"@{word()}", lambda: f"$ {digits(4)}.{digits(2)}",
-        lambda: digits(draw.randrange(20, 32)), lambda: f"{word()}{digits(3)}", lambda: f"| {digits(2)} | {digits(3)} | {digits(2)} |")
+        lambda: f"{word()} at {word()}", lambda: f"the {word()} dot {word()}", lambda: f"at {digits(1)} or {digits(2)}",
+        lambda: f"{digits(4)}-{digits(2)}-{digits(2)}", lambda: f"+{digits(2)} %", lambda: f"{digits(3)}.{digits(3)}", lambda: f"x={digits(2)}; y={digits(3)}",
+        lambda: f"{word()}{digits(3)}", lambda: f"| {digits(2)} | {digits(3)} | {digits(2)} |")
     parts, spans, at = [], [], 0
     for _ in range(draw.randrange(4, 11)):
         roll = draw.random()
-        kind = draw.randrange(len(KINDS)) if roll < 0.2 else None
+        kind = draw.randrange(len(KINDS)) if roll < 0.25 else None
         part = personal[kind]() if kind is not None else draw.choice(other)() if roll < 0.5 else word()
+        if kind is not None and draw.random() < 0.3:  # what often stands before such data
+            lead = draw.choice(["contact ", "mail: ", "call ", "phone ", "tel. ", "card ", "server ", "from ", "(", "<", "ip=", "IP ", "Email: "])
+            parts.append(lead)
+            at += len(lead)
         if kind is not None:
             spans.append(Span(at, kind, at + len(part)))
-        part += draw.choice([" ", " ", " ", ", ", ". ", "\n", "### ", "&&& "])
+        part += draw.choice([" ", " ", " ", " ", ", ", ". ", "\n", ".\n", "; ", "! ", ") ", "### ", "&&& "])
         parts.append(part)
         at += len(part)
     return "".join(parts), spans
@@ -132,48 +164,56 @@ def labelled_text(draw: random.Random) -> tuple[str, list[Span]]:
 # ---- network
 
 def codes(text: str) -> np.ndarray:
-    """ASCII characters stand for themselves; other letters and other characters are one code each."""
+    """ASCII characters stand for themselves in lower case, any digit for 0; other letters and other characters are one code each."""
     points = np.frombuffer(text.encode("utf-32-le"), np.uint32)
     high = np.array([128 if chr(p).isalpha() else 129 for p in points[points > 127]], np.int64)
-    result = points.astype(np.int64)
+    result = _CODES[np.minimum(points, 127)]
     result[points > 127] = high
     return result
 
 
+_CODES = np.arange(128)
+_CODES[65:91] += 32
+_CODES[48:58] = 48
+
+
 def _sigmoid(x):
     return 1 / (1 + np.exp(-x))
 
 
-class Direction(NamedTuple):
-    """What one direction of the LSTM has computed, for the way back."""
+class Pass(NamedTuple):
+    """What both directions of the LSTM have computed, place by place, for the way back."""
 
+    letters: np.ndarray
     gates: list
     cells: list
     hidden: list
 
 
 class Tagger:
-    """Parameters and their use; ``params`` maps names to arrays."""
+    """Parameters and their use; ``params`` maps names to arrays. Those of the LSTM have one part a direction."""
 
-    def __init__(self, seed: int = 7):
+    def __init__(self, seed: int = 7, hidden: int = HIDDEN):
         rng = np.random.default_rng(seed)
-        scale = lambda *shape: rng.normal(0, 1 / np.sqrt(shape[0]), shape).astype(np.float32)
-        self.params = {"embed": scale(LETTERS, EMBEDDED) * 3, "out": scale(2 * HIDDEN, N_TAGS), "bias": np.zeros(N_TAGS, np.float32),
+        scale = lambda *shape: rng.normal(0, 1 / np.sqrt(shape[-2]), shape).astype(np.float32)
+        bias = np.zeros((2, 1, 4 * hidden), np.float32)
+        bias[:, :, hidden:2 * hidden] = 1
+        self.params = {"embed": scale(LETTERS, EMBEDDED) * 3, "in": scale(2, EMBEDDED, 4 * hidden), "own": scale(2, hidden, 4 * hidden),
+                       "lstm_bias": bias, "out": scale(2 * hidden, N_TAGS), "bias": np.zeros(N_TAGS, np.float32),
                        "moves": np.zeros((N_TAGS, N_TAGS), np.float32)}
-        for way in ("ahead", "back"):
-            bias = np.zeros(4 * HIDDEN, np.float32)
-            bias[HIDDEN:2 * HIDDEN] = 1
-            self.params |= {f"{way}_in": scale(EMBEDDED, 4 * HIDDEN), f"{way}_own": scale(HIDDEN, 4 * HIDDEN), f"{way}_bias": bias}
 
-    def _run(self, way: str, letters: np.ndarray) -> Direction:
+    def _run(self, letters: np.ndarray) -> Pass:
         p = self.params
-        table = p["embed"] @ p[f"{way}_in"] + p[f"{way}_bias"]
-        cell = hidden = np.zeros((len(letters), HIDDEN), np.float32)
-        done = Direction([], [], [])
+        both = np.stack([letters, letters[:, ::-1]])
+        table = p["embed"] @ p["in"] + p["lstm_bias"]
+        size = p["own"].shape[1]
+        cell = hidden = np.zeros((2, len(letters), size), table.dtype)
+        done, ways = Pass(both, [], [], []), np.arange(2)[:, None]
         for t in range(letters.shape[1]):
-            z = table[letters[:, t]] + hidden @ p[f"{way}_own"]
-            gate = np.concatenate([_sigmoid(z[:, :3 * HIDDEN]), np.tanh(z[:, 3 * HIDDEN:])], axis=1)
-            i, f, o, g = np.split(gate, 4, axis=1)
+            gate = table[ways, both[:, :, t]] + hidden @ p["own"]
+            gate[:, :, :3 * size] = _sigmoid(gate[:, :, :3 * size])
+            np.tanh(gate[:, :, 3 * size:], out=gate[:, :, 3 * size:])
+            i, f, o, g = np.split(gate, 4, axis=2)
             cell = f * cell + i * g
             hidden = o * np.tanh(cell)
             done.gates.append(gate)
@@ -182,41 +222,45 @@ class Tagger:
         return done
 
     def emissions(self, letters: np.ndarray):
-        ahead, back = self._run("ahead", letters), self._run("back", letters[:, ::-1])
-        both = np.concatenate([np.stack(ahead.hidden, axis=1), np.stack(back.hidden[::-1], axis=1)], axis=2)
-        return both @ self.params["out"] + self.params["bias"], both, ahead, back
+        done = self._run(letters)
+        states = np.stack(done.hidden, axis=2)
+        both = np.concatenate([states[0], states[1][:, ::-1]], axis=2)
+        return both @ self.params["out"] + self.params["bias"], both, done
 
     def slopes(self, letters: np.ndarray, tags: np.ndarray) -> tuple[float, dict]:
         """Mean loss of a batch and its derivatives."""
-        emit, both, ahead, back = self.emissions(letters)
+        emit, both, done = self.emissions(letters)
         loss, d_emit, d_moves = crf_loss(emit, self.params["moves"], tags)
-        out = {"moves": d_moves, "out": np.einsum("btd,btk->dk", both, d_emit), "bias": d_emit.sum(axis=(0, 1)),
-               "embed": np.zeros_like(self.params["embed"])}
-        d_both = d_emit @ self.params["out"].T
-        self._back("ahead", letters, ahead, d_both[:, :, :HIDDEN], out)
-        self._back("back", letters[:, ::-1], back, d_both[:, ::-1, HIDDEN:], out)
-        return loss, out
-
-    def _back(self, way, letters, done, d_hidden, out):
-        p, rows = self.params, len(letters)
-        own = np.zeros_like(p[f"{way}_own"])
-        d_table = np.zeros((LETTERS, 4 * HIDDEN), np.float32)
-        d_h = d_c = np.zeros((rows, HIDDEN), np.float32)
-        for t in range(letters.shape[1] - 1, -1, -1):
-            i, f, o, g = np.split(done.gates[t], 4, axis=1)
+        out = {"moves": d_moves, "out": np.einsum("btd,btk->dk", both, d_emit), "bias": d_emit.sum(axis=(0, 1))}
+        d_both, size = d_emit @ self.params["out"].T, self.params["own"].shape[1]
+        return loss, out | self._back(done, np.stack([d_both[:, :, :size], d_both[:, ::-1, size:]]))
+
+    def _back(self, done: Pass, d_hidden: np.ndarray) -> dict:
+        p, rows = self.params, d_hidden.shape[1]
+        own = np.zeros_like(p["own"])
+        every = np.empty((d_hidden.shape[2], 2, rows, own.shape[2]), own.dtype)
+        d_h = d_c = np.zeros((2, rows, own.shape[1]), own.dtype)
+        back = p["own"].transpose(0, 2, 1)
+        for t in range(d_hidden.shape[2] - 1, -1, -1):
+            i, f, o, g = np.split(done.gates[t], 4, axis=2)
             before = done.cells[t - 1] if t else np.zeros_like(d_c)
             curved = np.tanh(done.cells[t])
-            d_h = d_h + d_hidden[:, t]
+            d_h = d_h + d_hidden[:, :, t]
             d_c = d_c + d_h * o * (1 - curved ** 2)
-            z = np.concatenate([d_c * g * i * (1 - i), d_c * before * f * (1 - f), d_h * curved * o * (1 - o), d_c * i * (1 - g ** 2)], axis=1)
+            z = np.concatenate([d_c * g * i * (1 - i), d_c * before * f * (1 - f), d_h * curved * o * (1 - o), d_c * i * (1 - g ** 2)], axis=2)
             if t:
-                own += done.hidden[t - 1].T @ z
-            np.add.at(d_table, letters[:, t], z)
-            d_h, d_c = z @ p[f"{way}_own"].T, d_c * f
-        out[f"{way}_own"] = own
-        out[f"{way}_in"] = p["embed"].T @ d_table
-        out[f"{way}_bias"] = d_table.sum(axis=0)
-        out["embed"] = out["embed"] + d_table @ p[f"{way}_in"].T
+                own += done.hidden[t - 1].transpose(0, 2, 1) @ z
+            every[t] = z
+            d_h, d_c = z @ back, d_c * f
+        # The slopes of a letter's table row are summed over all places that have the letter.
+        places = (done.letters.transpose(2, 0, 1) + np.array([0, LETTERS])[:, None]).reshape(-1)
+        order = np.argsort(places, kind="stable")
+        seen, starts = np.unique(places[order], return_index=True)
+        d_table = np.zeros((2 * LETTERS, own.shape[2]), own.dtype)
+        d_table[seen] = np.add.reduceat(every.reshape(len(places), -1)[order], starts)
+        d_table = d_table.reshape(2, LETTERS, -1)
+        return {"own": own, "in": p["embed"].T @ d_table, "lstm_bias": d_table.sum(axis=1, keepdims=True),
+                "embed": (d_table @ p["in"].transpose(0, 2, 1)).sum(axis=0)}
 
     def decode(self, letters: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The best tags of each window, and how much better they are than tag 0, character by character."""
@@ -304,18 +348,43 @@ def train(texts: int = TRAIN_TEXTS, epochs: int = EPOCHS, seed: int = 1) -> Tagg
 
 
 @lru_cache(maxsize=1)
-def trained_tagger() -> Tagger:
+def _trained() -> Tagger:
     return train()
 
 
+def recipe() -> str:
+    """A digest of what the trained arrays follow from: the code and constants of this module."""
+    return sha256(Path(__file__).read_bytes()).hexdigest()[:16]
+
+
+def trained_tagger(spark: SparkSession) -> Tagger:
+    """The network of this module's training rows: read from the shared folder, or trained and kept there."""
+    path = f"{shared_folder(spark)}/fareflow-models/tagger-{recipe()}"
+    tagger = Tagger()
+    try:
+        kept = {r.name: np.array(r.numbers, np.float32).reshape(r.shape) for r in spark.read.schema(STORED).parquet(path).collect()}
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        kept = {}
+    if kept.keys() != tagger.params.keys():
+        kept = _trained().params
+        spark.createDataFrame([(n, list(v.shape), v.reshape(-1).tolist()) for n, v in kept.items()], STORED).coalesce(1).write.mode(
+            "overwrite").parquet(path)
+    tagger.params = kept
+    return tagger
+
+
 # ---- spans
 
 def plausible(kind: int, text: str) -> bool:
     """Whether the characters that a kind can't do without are there."""
-    digits = sum("0" <= c <= "9" for c in text)
+    digits = "".join(c for c in text if "0" <= c <= "9")
     if kind == 0:
-        return "@" in text and "." in text
-    return (digits >= 4 and text.count(".") == 3, 12 <= digits <= 19, 9 <= digits <= 15)[kind - 1]
+        spelled = _DOT_WORD.search(text) is not None
+        return ("." in text or spelled) if "@" in text or _AT_MARK.search(text) else spelled and " at " in text
+    return (len(digits) >= 4 and max(text.count("."), text.count("dot")) == 3, 12 <= len(digits) <= 19 and luhn(digits),
+            9 <= len(digits) <= 15)[kind - 1]
 
 
 def reconcile(pieces: list[tuple[int, int, int, float]]) -> list[tuple[Span, float]]:
@@ -371,13 +440,20 @@ def network_spans(tagger: Tagger, texts: list[str], bases: list[list[Span]]) ->
 
 
 def beside(text: str, found: list[tuple[Span, float]], base: list[Span]) -> list[Span]:
-    """The sure and plausible ones of the spans, without blanks at their ends, that touch no base span."""
+    """The sure and plausible ones of the spans, without blanks at their ends, that touch no base span.
+
+    An address whose "@" has no blank beside it ends at the blanks around.
+    """
     starts = [s.start for s in base]
     ends = np.maximum.accumulate([0, *(s.end for s in base)])
     kept = []
     for span, score in found:
         raw = text[span.start:span.end]
         start, end = span.start + len(raw) - len(raw.lstrip()), span.end - len(raw) + len(raw.rstrip())
+        at = text.find("@", start, end) if span.kind == 0 else -1
+        if start < at < end - 1 and not (text[at - 1].isspace() or text[at + 1].isspace()):
+            start = max([start, *(m.end() + start for m in re.finditer(r"\s", text[start:at]))])
+            end = min([end, *(m.start() + at for m in re.finditer(r"\s", text[at:end]))])
         free = ends[np.searchsorted(starts, end, "left")] <= start
         if free and score >= LEAST_SCORE * (end - start) and plausible(span.kind, text[start:end]):
             kept.append(Span(start, span.kind, end))
@@ -396,8 +472,7 @@ def find_personal_data(
 
     def work(batches):
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
+            for part in by_bytes(batch, 1, 1 << 20):
                 texts = [t.as_py() or "" for t in part.column(1)]
                 bases = [base_spans(t) for t in texts]
                 added = network_spans(tagger, texts, bases)

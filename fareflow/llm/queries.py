@@ -47,7 +47,7 @@ def op2_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
 
 def op3_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     """The counts and the hash are those of the base spans; the network's spans stand in ``spans`` alone."""
-    return find_personal_data(table(spark, folder, "documents"), trained_tagger()).select(
+    return find_personal_data(table(spark, folder, "documents"), trained_tagger(spark)).select(
         "doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base_spans", 256).alias("base_sha256"), "spans")
 
 

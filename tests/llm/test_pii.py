@@ -1,3 +1,4 @@
+import os
 import random
 import re
 
@@ -6,8 +7,10 @@ import pytest
 
 from fareflow.llm.pii import (
     EPOCHS, KINDS, LETTERS, N_TAGS, REACH, WINDOW, Span, Tagger, base_spans, find_personal_data, labelled_text, luhn,
-    network_spans, reconcile, trained_tagger, windows_of)
+    network_spans, recipe, reconcile, trained_tagger, windows_of)
+from fareflow.sources.tables import shared_folder
 
+FOLDER = "/root/testdata/sf0.01"
 PLAIN = (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
          r"[0-9]([\x20-]?[0-9])+", r"\+[0-9][\x20().0-9-]+[0-9]")
 
@@ -76,9 +79,106 @@ def test_reconciling_takes_the_largest_total():
 
 
 @pytest.fixture(scope="module")
-def tagger():
+def tagger(spark):
     assert EPOCHS > 1
-    return trained_tagger()
+    return trained_tagger(spark)
+
+
+#: Written by hand, not by the generator: spans stand in braces, "e", "i", "c" or "p" before them tells the kind.
+BY_HAND = """
+Please write to e{anna.berg@postoffice.se} before Friday.
+Her new address is e{m_lopez77@universidad.edu.mx}, the old one bounces.
+Contact: e{support@tooling.io} or p{+1 (415) 555-0137} during office hours.
+You can reach the secretary under p{+44 20 7946 0958} or by mail.
+Rückfragen bitte an e{k.neumann@stadtwerke-koeln.de} richten.
+The backup host i{10.20.130.7} answers, but i{192.168.100.24} does not.
+Failed login for root from i{203.0.113.195} port 22 ssh2
+Charged to card c{4539 1488 0343 6467} on the third of May.
+Visa c{4716-4613-9271-4508} expires 09/27.
+My amex c{371449635398431} was declined twice.
+Use c{5555555555554444} in the sandbox, never in production.
+Call p{+49 30 901820} and ask for extension 12.
+Hotline p{+33 1 70 18 99 00}, open daily.
+tel p{(503) 555-0199} fax p{(503) 555-0198}
+Ring p{206-555-0112} after six.
+He said: write e{paul dot stone at mailbox dot org} so that robots miss it.
+e{jane [at] riverside [dot] com} is how she spells it on her page.
+My mail is e{info @ smallbakery.fr} with blanks.
+Server room: i{172.16.254.1}, gateway i{172.16.254.254}.
+Send the form to e{hr-office@northern-lines.co.uk} or e{h.r@northern.com}.
+p{+81 3 1234 5678} is the office in Tokyo.
+p{+1-800-555-0100} is toll free.
+Paid by c{6011 1111 1111 1117}, thank you.
+ping i{8.8.8.8} works, ping i{255.255.255.0} makes no sense.
+e{first.last+news@sub.domain.example.com} gets the letters.
+Old phone p{030/1234567}, new phone p{+49 171 2345678}.
+An entry like i{66.249.66.1} - - [12/Mar/2020:10:01:22] "GET / HTTP/1.1" 200
+card: c{3530 1113 3330 0000}; name: J. Doe
+sms to p{+351 912 345 678} please
+User e{zoe99@webmail.net} wrote from i{81.2.69.142}.
+""".strip().split("\n")
+CLEAN = """
+In 1999 the 12 members met at 10:30 in room 204, on page 340 of the book.
+Version 2.10.4 was followed by 2.11.0 on 2021-03-04.
+The price rose from $ 1,250.00 to $ 1,399.50, or 12.0 %.
+Order #48213377 has 3 items; see https://shop.example.com/orders?id=48213377.
+She looked at the dot on the map and laughed at him.
+Results: 0.123, 0.456, 0.789 and 1024 bytes at 3 hertz.
+ISBN 978-3-16 and section 4.2.1 are cited by @reader in 2010.
+Coordinates 52.5200, 13.4050; height 34 m; 3,644,826 people.
+""".strip().split("\n")
+
+
+def marked(line):
+    spans, text = [], ""
+    for part in re.split(r"([eicp]\{[^}]*\})", line):
+        if re.fullmatch(r"[eicp]\{[^}]*\}", part):
+            spans.append(Span(len(text), "eicp".index(part[0]), len(text) + len(part) - 3))
+            part = part[2:-1]
+        text += part
+    return text, spans
+
+
+def test_spans_written_by_hand(tagger):
+    """The network alone, on lines that its generator has not made."""
+    hit = total = wrong = beyond = beyond_total = 0
+    for line in BY_HAND:
+        text, spans = marked(line)
+        found = set(network_spans(tagger, [text], [[]])[0])
+        other = set(spans) - set(base_spans(text))
+        hit, total, wrong = hit + len(found & set(spans)), total + len(spans), wrong + len(found - set(spans))
+        beyond, beyond_total = beyond + len(found & other), beyond_total + len(other)
+    assert hit / total >= 0.9 and wrong <= 0.15 * total, (hit, total, wrong)
+    assert beyond_total >= 6 and beyond / beyond_total >= 0.6
+    assert sum(len(network_spans(tagger, [line], [[]])[0]) for line in CLEAN) <= 1
+
+
+@pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
+def test_planted_spans_of_documents(spark, tagger):
+    """Of the spans that the patterns find in the test documents, those that the network finds by itself."""
+    texts = [r.text or "" for r in spark.read.parquet(f"{FOLDER}/documents.parquet").select("text").collect()]
+    base = [base_spans(t) for t in texts]
+    alone = network_spans(tagger, texts, [[] for _ in texts])
+    hit = sum(len(set(a) & set(b)) for a, b in zip(alone, base))
+    assert hit >= 0.9 * sum(map(len, base))
+    # A second way to write them: joints and codes that the patterns do not know.
+    changed, expected = [], []
+    for text, spans in zip(texts, base):
+        for s in [x for x in spans if x.kind in (0, 3)][:1]:
+            part = text[s.start:s.end]
+            other = part.replace("@", " [at] ").replace(".", " [dot] ") if s.kind == 0 else part.replace("+", "00", 1)
+            around = text[max(0, s.start - 60):s.start], text[s.end:s.end + 60]
+            changed.append(around[0] + other + around[1])
+            expected.append(Span(len(around[0]), s.kind, len(around[0]) + len(other)))
+    added = network_spans(tagger, changed, [base_spans(t) for t in changed])
+    assert sum(e in a for e, a in zip(expected, added)) >= 0.6 * len(expected) > 5
+
+
+def test_trained_once_and_kept(spark, tagger, monkeypatch):
+    assert spark.read.parquet(f"{shared_folder(spark)}/fareflow-models/tagger-{recipe()}").count() == len(tagger.params)
+    monkeypatch.setattr("fareflow.llm.pii._trained", lambda: pytest.fail("trained again"))
+    again = trained_tagger(spark)
+    assert all(np.array_equal(again.params[k], v) and again.params[k].shape == v.shape for k, v in tagger.params.items())
 
 
 def test_held_out_spans(tagger):
@@ -87,7 +187,7 @@ def test_held_out_spans(tagger):
         text, spans = labelled_text(draw)
         found = set(network_spans(tagger, [text], [[]])[0])
         hit, missed, wrong = hit + len(found & set(spans)), missed + len(set(spans) - found), wrong + len(found - set(spans))
-    assert hit / (hit + missed) > 0.75 and hit / (hit + wrong) > 0.95
+    assert hit / (hit + missed) > 0.9 and hit / (hit + wrong) > 0.93
 
 
 def test_documents(spark, tagger):
