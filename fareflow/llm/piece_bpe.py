@@ -35,7 +35,7 @@ from fareflow.llm.common import arrow_map, pick
 
 #: Fixed value: the symbol that stands for a space.
 SPACE = "▁"
-CACHED_PARTS = 500_000
+CACHED_PARTS = 1_200_000
 CACHED_CHARS = 64
 ROWS_AT_ONCE = 256
 
