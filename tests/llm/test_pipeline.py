@@ -79,6 +79,53 @@ def test_encoding(outputs):
         assert np.frombuffer(r.ids, "<u4").tolist() == library.encode_ordinary(texts[r.doc_id]) and r.n_tokens == len(r.ids) // 4
 
 
+ODD = "doc_id long, text string, lang string, source string, n_chars long, DOC_ID string, _dropped long, size int, block long, place int"
+
+
+def odd_rows():
+    words = [f"word{i}" for i in range(400)]
+    rows = [(i, " ".join(words[i:i + 40]), "en", "ab"[i % 2]) for i in range(30)]
+    rows += [(100, None, None, None), (101, "", "en", "a"), (None, " ".join(words[50:90]) + " x", "en", None), (None, None, None, None),
+             (3, " ".join(words[200:240]), "en", "b"), (3, " ".join(words[3:43]), "en", "b"), (5, rows[5][1], "en", "b"),
+             (200, "\n".join(f"line number{i} has its own words{i * 7} here" for i in range(30_000)), "en", "c"),
+             (300, rows[7][1], "fr", None), (301, rows[7][1].upper(), "fr", "")]
+    return [(*r, len(r[1] or ""), "d", 1, 2, 3, 4) for r in rows]
+
+
+def test_odd_rows_pass_every_stage(spark):
+    """Null texts, ids and sources, repeated ids and rows, a very long text, and columns with names used inside."""
+    docs = spark.createDataFrame(odd_rows(), ODD)
+    folder, found = RunFolder(spark), [docs]
+    for i, (_, stage) in enumerate(STAGES):
+        found.append(folder.write(f"odd{i}", stage(spark, found[-1], FOLDER)))
+        if i < 4:
+            assert found[-1].columns == docs.columns
+    judged = found[1].collect()
+    assert all(r.text for r in judged) and {r.doc_id for r in judged} >= {0, 3, 5, 200, None}
+    assert len({r.text for r in judged}) == len({r.text for r in found[2].collect()}) == found[2].count()
+    near = {r.doc_id for r in found[3].collect()}
+    assert None in near and 200 in near and not {300, 301} & near
+    assert found[5].count() == found[4].count() > 0
+
+
+def test_each_stage_takes_what_the_first_one_drops(spark):
+    """Every stage by itself, over all odd rows."""
+    docs = spark.createDataFrame(odd_rows(), ODD)
+    assert STAGES[1][1](spark, docs, FOLDER).count() == len({r[1] or "" for r in odd_rows()})
+    near = STAGES[2][1](spark, docs, FOLDER)
+    assert near.columns == docs.columns and near.where("doc_id IS NULL OR doc_id IN (100, 101)").count() == 4
+    mixed = STAGES[3][1](spark, docs, FOLDER)
+    assert mixed.columns == docs.columns and mixed.where("doc_id IN (100, 101)").count() == 2
+    assert STAGES[4][1](spark, docs, FOLDER).where("doc_id = 100 AND n_tokens = 0").count() == 1
+
+
+def test_empty_table_passes_every_stage(spark):
+    docs = spark.createDataFrame([], ODD)
+    for i, (_, stage) in enumerate(STAGES):
+        out = stage(spark, docs, FOLDER)
+        assert out.count() == 0 and (i == 4 or out.columns == docs.columns)
+
+
 def test_run(spark, outputs):
     assert sorted((r.doc_id, bytes(r.ids)) for r in run(spark, FOLDER).collect()) == sorted(
         (r.doc_id, bytes(r.ids)) for r in outputs[5].collect())
