@@ -63,6 +63,20 @@ def test_aggregates_combine_before_the_shuffle(tables):
         assert "partial_sum" in plan(df) and "partial_count" in plan(df)
 
 
+def test_no_booking_is_copied_for_distinct_counts(tables):
+    for df in (tables.booking_window_analysis(), tables.crosstab_summary(), tables.carrier_summary()):
+        assert "Expand" not in plan(df) and "bitmap_construct_agg" in plan(df)
+
+
+def test_a_split_look_up_reads_facts_once(spark):
+    from registry.fare_queries import gapped_tables
+
+    text = plan(gapped_tables(spark, FOLDER).pricing_features())
+    assert text.count("segmentsairlinecode") and len(re.findall(r"ReadSchema: struct<[^>]*legid", text)) == 1
+    # Two chained look-ups: each meets the facts in one shuffle, by key and salt, or at run time by broadcast.
+    assert "_salt" in text
+
+
 def test_samples_and_deduplication_are_trimmed_before_the_shuffle(spark, tables):
     queries = table_queries()
     for df in (tables.booking_sample(), queries["dedup_latest_order_per_customer"](spark, FOLDER),
