@@ -79,7 +79,7 @@ def test_encoding(outputs):
         assert np.frombuffer(r.ids, "<u4").tolist() == library.encode_ordinary(texts[r.doc_id]) and r.n_tokens == len(r.ids) // 4
 
 
-ODD = "doc_id long, text string, lang string, source string, n_chars long, DOC_ID string, _dropped long, size int, block long, place int"
+ODD = "doc_id long, text string, lang string, source string, n_chars long, _c0 string, _dropped long, size int, block long, place int"
 
 
 def odd_rows():
