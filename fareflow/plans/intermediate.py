@@ -8,6 +8,7 @@ from fareflow.functions import bands, numbers, text
 from fareflow.operators.joins import lookup
 from fareflow.operators.quantiles import percentiles_of_small_groups
 from fareflow.params import STANDARD_PERCENTILES, FareParams
+from fareflow.sources.tables import plan_bytes
 
 DAILY_KEYS = ["route", "carrier_code", "dtf_bucket", "flight_date"]
 PERCENTILE_COLUMNS = list(STANDARD_PERCENTILES)
@@ -81,6 +82,7 @@ def int_route_daily_prices(staged: DataFrame, carriers: DataFrame) -> DataFrame:
             "median_ratio": (ratio, 0.50), "p95_ratio": (ratio, 0.95),
         },
         counted={"obs": fare},
+        stored_bytes=plan_bytes(staged),
     )
     named = prices.join(F.broadcast(dim_carrier(carriers)), "carrier_code", "left")
     return named.select(

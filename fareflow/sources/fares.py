@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from fareflow.operators.joins import BROADCAST_BYTES
+from fareflow.sources.tables import dealt, plan_bytes
 
 RAW_FARE_SCHEMA = """
     legid string, searchdate string, flightdate string,
@@ -43,11 +45,12 @@ def fares_from_orders(
     buyers = orders.select("o_orderkey", "o_custkey").join(
         customer.select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey")
     ).select("o_orderkey", "c_nationkey")
+    sellers = supplier.select("s_suppkey", "s_nationkey")
+    if plan_bytes(sellers) <= BROADCAST_BYTES:
+        sellers = F.broadcast(sellers)
     lines = (
-        lineitem.join(
-            supplier.select("s_suppkey", "s_nationkey"), F.col("l_suppkey") == F.col("s_suppkey")
-        )
-        .join(buyers, F.col("l_orderkey") == F.col("o_orderkey"))
+        lineitem.join(buyers, F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(sellers, F.col("l_suppkey") == F.col("s_suppkey"))
         .withColumns({
             "a": F.col("s_nationkey") % 8,
             "b": F.col("c_nationkey") % 8,
@@ -116,6 +119,8 @@ def fares_from_folder(spark: SparkSession, folder: str) -> DataFrame:
     def table(name):
         return spark.read.parquet(f"{folder}/{name}.parquet")
 
-    # The table is one row group here, which one task would read; it is spread whatever its size.
-    lines = table("lineitem").repartition("l_orderkey", "l_partkey")
+    # The table is one row group here, which one task would read; it is spread whatever its size. The key is that of
+    # the join with the orders, which then moves no line again.
+    lines = table("lineitem")
+    lines = dealt(lines, plan_bytes(lines), "l_orderkey")
     return fares_from_orders(lines, table("orders"), table("customer"), table("supplier"))

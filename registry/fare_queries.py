@@ -22,6 +22,8 @@ NAMES = (
     "carrier_summary", "route_summary", "booking_sample",
 )
 
+# Booking ids are digits, half of each stored table; this codec takes a third less for them than the default.
+CODEC = "zstd"
 
 _built: dict[tuple, FareTables] = {}
 
@@ -34,7 +36,7 @@ def fare_tables(spark: SparkSession, folder: str) -> FareTables:
     """
     key = (spark.sparkContext.applicationId, folder)
     if key not in _built:
-        run = RunFolder(spark)
+        run = RunFolder(spark, compression=CODEC)
         run.write("raw_fares", fares_from_folder(spark, folder))
         _built[key] = FareTables(read_fares(spark, run.path("raw_fares")), folder=run)
     return _built[key]
@@ -47,7 +49,7 @@ def gapped_tables(spark: SparkSession, folder: str) -> FareTables:
     """
     key = (spark.sparkContext.applicationId, folder, "gaps")
     if key not in _built:
-        run = RunFolder(spark)
+        run = RunFolder(spark, compression=CODEC)
         order = F.split_part("legid", F.lit("-"), F.lit(1)).cast("bigint")
         fares = fares_from_folder(spark, folder).withColumn("segmentsarrivalairportcode", F.when(
             order % 3 != 0, F.col("segmentsarrivalairportcode")))
@@ -69,7 +71,7 @@ def listed_tables(spark: SparkSession, folder: str) -> FareTables:
     """
     key = (spark.sparkContext.applicationId, folder, "lists")
     if key not in _built:
-        run = RunFolder(spark)
+        run = RunFolder(spark, compression=CODEC)
         for name, df in (("carriers", seeds.carriers(spark)), ("airports", seeds.airports(spark)),
                          ("classes", seeds.fare_classes(spark))):
             df.write.csv(run.path(name), header=True)
