@@ -38,10 +38,13 @@ def first_per_group(
     return df.withColumn(rank, F.row_number().over(whole)).where(F.col(rank) <= limit)
 
 
-def _hash_share(order: Column) -> Column:
-    """Where a hash lies among all, from 0 to 1, by its first digits."""
-    digits = F.conv(F.substring(order, 1, HASH_DIGITS), 16, 10)
-    return digits.cast("double") / float(16 ** HASH_DIGITS)
+def _last_digits(share: Column) -> Column:
+    """The first digits of the last hash within a share, from 0 to 1, of all hashes.
+
+    Hashes are compared with them as text, so digits are made once a stratum and no hash is read as a number.
+    """
+    last = F.least(F.floor(share * float(16 ** HASH_DIGITS)), F.lit(16 ** HASH_DIGITS - 1))
+    return F.lpad(F.lower(F.hex(last)), HASH_DIGITS, "0")
 
 
 def stratified_sample(
@@ -65,9 +68,9 @@ def stratified_sample(
     most = max(at_least, at_most)
     if plan_bytes(sizes) <= broadcast_bytes:
         spare = SPARE_DEVIATIONS * F.sqrt(F.col("_take").cast("double")) + SPARE_ROWS
-        limits = sizes.select(*strata, ((F.col("_take") + spare) / F.col("_size")).alias("_limit"))
+        limits = sizes.select(*strata, _last_digits((F.col("_take") + spare) / F.col("_size")).alias("_limit"))
         low = run.write("low", attach(rows, F.broadcast(limits), strata, match_nulls=True, how="inner").where(
-            _hash_share(F.col("_order")) <= F.col("_limit")).drop("_limit"))
+            F.substring("_order", 1, HASH_DIGITS) <= F.col("_limit")).drop("_limit"))
         found = low.groupBy(*strata).agg(F.count(F.lit(1)).alias("_found"))
         short = run.write("short", attach(sizes, found, strata, match_nulls=True).where(
             F.coalesce("_found", F.lit(0)) < F.col("_take")).select(*strata))

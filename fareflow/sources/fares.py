@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from datetime import date, timedelta
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from fareflow.functions import numbers
 from fareflow.operators.joins import BROADCAST_BYTES
-from fareflow.sources.tables import dealt, plan_bytes
+from fareflow.sources.tables import WIDENED_PART_BYTES, dealt, plan_bytes
 
 RAW_FARE_SCHEMA = """
     legid string, searchdate string, flightdate string,
@@ -28,12 +31,20 @@ def read_fares(spark: SparkSession, path: str) -> DataFrame:
 ORDER_AIRPORTS = ("LAX", "DFW", "MIA", "SEA", "PHL", "DTW", "SLC", "ZZZ")
 ORDER_CARRIERS = ("AA", "DL", "UA", "B6", "QQ")
 CONNECTION = "BDL"
+# Searches are spread over these days, and flights over days around a search; a key below 0 counts backwards.
+FIRST_SEARCH, SEARCH_DAYS, FLIGHT_DAYS, FLIGHTS_FROM = date(2022, 4, 16), 14, 64, -4
 
 
 def _pick(codes, index):
     return F.element_at(F.array(*[F.lit(c) for c in codes]), (index + 1).cast("int"))
 
 
+def _day_text(offset, least, most):
+    """The text of the first search day moved by ``offset`` days, from a list of all such texts; writing a date is slower."""
+    days = [str(FIRST_SEARCH + timedelta(days=i)) for i in range(least, most + 1)]
+    return F.when(offset.isNotNull(), _pick(days, offset - least))
+
+
 def fares_from_orders(
     lineitem: DataFrame, orders: DataFrame, customer: DataFrame, supplier: DataFrame
 ) -> DataFrame:
@@ -63,8 +74,7 @@ def fares_from_orders(
                 F.when((F.col("a") + F.col("b")) % 5 == 0, 0).otherwise(F.col("l_suppkey") % 5),
             ),
             "two": F.col("l_linenumber") % 3 == 0,
-            "search": F.date_add(
-                F.lit("2022-04-16").cast("date"), (F.col("l_orderkey") % 14).cast("int")),
+            "search": F.col("l_orderkey") % SEARCH_DAYS,
         })
     )
 
@@ -79,6 +89,7 @@ def fares_from_orders(
         text = F.when(F.col("l_orderkey") % 53 == 0, "None").otherwise(value.cast("string"))
         return legs(text, text, text)
 
+    last_search = 1 - SEARCH_DAYS, SEARCH_DAYS - 1
     org, dst, car, hub = F.col("org"), F.col("dst"), F.col("car"), F.lit(CONNECTION)
     second_carrier = _pick(ORDER_CARRIERS, F.col("l_partkey") % 5)
     letter = F.when(F.col("l_partkey") % 28 >= 26, "1").otherwise(
@@ -87,11 +98,13 @@ def fares_from_orders(
         F.concat_ws(
             "-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
             F.col("l_shipdate").cast("date").cast("string"),
-            F.round(F.col("l_extendedprice") * 100).cast("bigint").cast("string"),
+            numbers.whole(F.col("l_extendedprice") * 100).cast("bigint").cast("string"),
         ).alias("legid"),
-        F.col("search").cast("string").alias("searchdate"),
-        F.date_add("search", (F.col("l_partkey") % 64 - 4).cast("int"))
-        .cast("string").alias("flightdate"),
+        _day_text(F.col("search"), *last_search).alias("searchdate"),
+        _day_text(
+            F.col("search") + F.col("l_partkey") % FLIGHT_DAYS + FLIGHTS_FROM,
+            last_search[0] + FLIGHTS_FROM - FLIGHT_DAYS + 1, last_search[1] + FLIGHTS_FROM + FLIGHT_DAYS - 1,
+        ).alias("flightdate"),
         (F.col("l_extendedprice") / 100 * (1 + F.col("l_tax"))).alias("totalfare"),
         F.when(F.col("l_orderkey") % 97 == 0, 0.0)
         .otherwise(F.col("l_extendedprice") / 100).alias("basefare"),
@@ -122,5 +135,5 @@ def fares_from_folder(spark: SparkSession, folder: str) -> DataFrame:
     # The table is one row group here, which one task would read; it is spread whatever its size. The key is that of
     # the join with the orders, which then moves no line again.
     lines = table("lineitem")
-    lines = dealt(lines, plan_bytes(lines), "l_orderkey")
+    lines = dealt(lines, plan_bytes(lines), "l_orderkey", part_bytes=WIDENED_PART_BYTES, exactly=True)
     return fares_from_orders(lines, table("orders"), table("customer"), table("supplier"))

@@ -105,3 +105,12 @@ def test_few_rows_are_ranked_and_the_sample_stays_the_same(bookings, rows, monke
     monkeypatch.setattr(sampling, "first_per_group", lambda df, *a: ranked.append(df.count()) or first(df, *a))
     assert rows(_sample(df)) == plain
     assert spare or ranked[0] < sum(sizes.values()) / 10
+
+
+def test_the_limit_of_a_sample_is_text_like_the_hashes(spark):
+    from fareflow.operators.sampling import HASH_DIGITS, _last_digits
+
+    shares = spark.createDataFrame([(0.0,), (0.5,), (2.0 ** -48,), (1 - 2.0 ** -48,), (1.0,), (7.5,)], "share double")
+    found = [r[0] for r in shares.select(_last_digits(F.col("share"))).collect()]
+    top = "f" * HASH_DIGITS
+    assert found == ["0" * 12, "8" + "0" * 11, "0" * 11 + "1", top, top, top]

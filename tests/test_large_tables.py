@@ -1,10 +1,12 @@
 """What the shared build moves, stores and deals out where the tables are large."""
 
+from datetime import date, timedelta
+
 from pyspark.sql import functions as F
 
-from fareflow.sources import tables
+from fareflow.sources import fares, tables
 from fareflow.sources.fares import fares_from_folder
-from fareflow.sources.tables import RunFolder, dealt
+from fareflow.sources.tables import RunFolder, dealt, plan_bytes
 
 
 def write_orders(spark, path):
@@ -47,3 +49,45 @@ def test_stored_tables_keep_their_rows_under_another_codec(spark, tmp_path):
     small = RunFolder(spark, str(tmp_path / "b"), compression="zstd").write("t", df)
     assert sorted(small.collect()) == sorted(plain.collect())
     assert tables.plan_bytes(small) < 0.8 * tables.plan_bytes(plain)
+
+
+def test_fares_are_built_by_as_many_tasks_as_asked_for(spark, tmp_path, monkeypatch):
+    write_orders(spark, str(tmp_path))
+    stored = plan_bytes(spark.read.parquet(f"{tmp_path}/lineitem.parquet"))
+    asked = spark.sparkContext.defaultParallelism + 3
+    monkeypatch.setattr(fares, "WIDENED_PART_BYTES", -(-stored // asked))
+    # Up to the session's number Spark would merge parts; here the lines must be what the tables are joined to.
+    options = {"spark.sql.shuffle.partitions": str(asked), "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {name: spark.conf.get(name) for name in options}
+    for name, value in options.items():
+        spark.conf.set(name, value)
+    try:
+        built = fares_from_folder(spark, str(tmp_path))
+        assert built.count() == 30 and built.rdd.getNumPartitions() == asked
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
+def test_dates_and_cents_of_fares(spark):
+    """All remainders of both keys, also of keys below 0 and null ones, and prices on half a cent."""
+    orders = spark.sql("SELECT id AS o_orderkey, 0L AS o_custkey FROM range(-13, 14)")
+    lines = orders.selectExpr(
+        "o_orderkey AS l_orderkey", "explode(array_append(sequence(-63L, 63L), NULL)) AS l_partkey", "0L AS l_suppkey",
+        "1 AS l_linenumber", "5D AS l_quantity", "IF(l_partkey < 0, -1, 1) * 0.125D AS l_extendedprice", "0D AS l_tax",
+        "'R' AS l_returnflag", "'F' AS l_linestatus", "timestamp_ntz'2020-01-01' AS l_shipdate")
+    got = fares.fares_from_orders(
+        lines, orders, spark.sql("SELECT 0L AS c_custkey, 1 AS c_nationkey"), spark.sql("SELECT 0L AS s_suppkey, 1 AS s_nationkey"))
+    assert "date_add" not in got._jdf.queryExecution().executedPlan().toString()
+    found = {r[:2]: r[2:] for r in got.selectExpr(
+        "regexp_extract(legid, '^(-?[0-9]+)-', 1)", "regexp_extract(legid, '^-?[0-9]+-1-(.+)-0-2020', 1)",
+        "searchdate", "flightdate", "regexp_extract(legid, '2020-01-01-(.+)$', 1)").collect()}
+    assert len(found) == 27 * 128
+    for (order, part), (search, flight, cents) in found.items():
+        day = date(2022, 4, 16) + timedelta(days=int(order))
+        assert search == str(day)
+        if part:
+            assert flight == str(day + timedelta(days=int(part) - 4))
+            assert cents == ("-13" if int(part) < 0 else "13")
+        else:
+            assert flight is None
