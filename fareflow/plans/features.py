@@ -31,7 +31,7 @@ def pricing_features(
         bands.booking_window(F.col("days_to_flight")).alias("dtf_bucket"),
         "total_fare", "base_fare",
         numbers.ratio(F.col("total_fare"), F.col("base_fare")).alias("total_base_ratio"),
-        F.size(text.split_segments(F.col("segmentsdepartureairportcode"))).alias("segment_count"),
+        text.count_segments(F.col("segmentsdepartureairportcode")).alias("segment_count"),
         text.first_segment(F.col("segmentsairlinecode")).alias("carrier_code"),
         "seats_flag", "fare_bucket", "is_nonstop", "is_basic_econ",
         F.col("total_miles").alias("staging_trip_dist"),

@@ -61,7 +61,9 @@ def gapped_tables(spark: SparkSession, folder: str) -> FareTables:
 
 def pricing_features_split(spark: SparkSession, folder: str) -> DataFrame:
     """Two chained look-ups by shuffle, with hot, cold, absent and NULL routes."""
-    return comparable(gapped_tables(spark, folder).pricing_features())
+    return comparable(
+        gapped_tables(spark, folder).pricing_features(), whole=("total_fare", "base_fare", "staging_trip_dist", "trip_dist"),
+        ratios=("total_base_ratio", "staging_usd_per_mi", "usd_per_mi"))
 
 
 def listed_tables(spark: SparkSession, folder: str) -> FareTables:

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fareflow.functions import arrays, bands, dates, geo, numbers, text
+from registry.compare import comparable
 
 
 def one(spark, expression, **values):
@@ -171,3 +172,26 @@ def test_bands_where_nothing_matches(spark):
     assert [one(spark, bands.concentration_level(F.lit(h))) for h in (0.8, 0.5, 0.49)] == [
         "High Concentration", "Moderate Concentration", "Low Concentration"]
     assert one(spark, bands.indicator(nothing > 1)) == 0
+
+
+def test_segments_are_counted_without_a_regular_expression(spark):
+    texts = ["a", "a||b", "", None, "||", "|||", "||||x", " a||b|| ", "|||a||||"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select(
+        "t", text.count_segments(F.col("t")).alias("n"), F.size(text.split_segments(F.col("t"))).alias("wanted"))
+    assert dict(df.dtypes)["n"] == "int" and df.where("n IS DISTINCT FROM wanted").count() == 0
+    counted = df.select("t", "n")
+    assert "[|]" not in counted._jdf.queryExecution().executedPlan().toString()
+
+
+def test_quick_roundings_give_the_same_values(spark):
+    """Whole numbers, halves of the last digit and values just beside them, signs of zero, large numbers and NULL."""
+    df = spark.sql("""
+        SELECT explode(array(sign * i, sign * (i + 0.5D) / 1e4D, sign * (i + 0.5D) / 1e4D * (1 + 1e-11D), sign * (i + 0.5D) / 1e4D * (1 - 1e-11D),
+            sign * (i + 0.49999996D) / 1e4D, sign * i * 7919 / 613D, sign * i * 1e5D / 3, sign * i * 1e15D)) AS x
+        FROM (SELECT id * 37D AS i FROM range(3000)) CROSS JOIN VALUES (1D), (-1D) t(sign)
+        UNION ALL SELECT * FROM VALUES (-0.0D), (CAST(NULL AS DOUBLE)), (99999.99995D), (1e15D - 1), (-0.00005D)""")
+    plain = comparable(df.selectExpr("x", "x AS whole", "x AS ratio")).toDF("plain", "w", "r")
+    quick = comparable(df.selectExpr("x", "x AS whole", "x AS ratio"), whole=["whole"], ratios=["ratio"])
+    assert plain.where("NOT (string(w) <=> string(plain) AND string(r) <=> string(plain))").count() == 0
+    assert quick.where("NOT (string(whole) <=> string(x) AND string(ratio) <=> string(x))").count() == 0
+    assert quick.count() == 48_005 and quick.where("x IS NULL").count() == 1
